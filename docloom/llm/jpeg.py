@@ -61,17 +61,7 @@ class Image:
 
     def order(self, which: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
         """Component and block number of each block of a scan, in the order it is coded in."""
-        if len(which) == 1:
-            c = self.parts[which[0]]
-            at = (np.arange(c.size[0])[:, None] * c.padded[1] + np.arange(c.size[1])).ravel()
-            return np.full(len(at), which[0]), at
-        of, at = [], []
-        for k in which:
-            c = self.parts[k]
-            grid = np.arange(c.padded[0] * c.padded[1]).reshape(c.padded[0] // c.v, c.v, c.padded[1] // c.h, c.h)
-            at.append(grid.transpose(0, 2, 1, 3).reshape(-1, c.h * c.v))
-            of.append(np.full(at[-1].shape, k))
-        return np.concatenate(of, 1).ravel(), np.concatenate(at, 1).ravel()
+        return _order(which, tuple((self.parts[k].h, self.parts[k].v, self.parts[k].size, self.parts[k].padded) for k in which))
 
     def rgb(self) -> np.ndarray:
         """Height x width x 3 bytes; chroma samples are repeated up to full resolution. One component gives grey."""
@@ -79,8 +69,12 @@ class Image:
         planes = []
         for c in self.parts:
             rows, cols = c.padded
+            if len(self.parts) > 1 and not c.coefs.any():
+                planes.append(np.full((1, 1), 128, np.int32))  # the same everywhere
+                continue
             flat = (c.coefs.reshape(-1, 64) * c.quant).astype(np.float64) @ inverse_dct()
-            samples = np.clip((flat.astype(np.int64) + 2048 >> 12) + 128, 0, 255).astype(np.int32)
+            flat += 2048 + 128 * 4096
+            samples = np.clip(flat, 0, 256 * 4096 - 1).astype(np.int32) >> 12
             plane = samples.reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
             plane = plane.repeat(vm // c.v, 0).repeat(hm // c.h, 1) if (c.h, c.v) != (hm, vm) else plane
             planes.append(plane[: self.height, : self.width])
@@ -95,6 +89,20 @@ class Image:
         return out
 
 
+@lru_cache(256)
+def _order(which: tuple[int, ...], grids: tuple) -> tuple[np.ndarray, np.ndarray]:
+    if len(which) == 1:
+        _, _, (rows, cols), (_, across) = grids[0]
+        at = (np.arange(rows)[:, None] * across + np.arange(cols)).ravel()
+        return np.full(len(at), which[0]), at
+    of, at = [], []
+    for k, (h, v, _, (down, across)) in zip(which, grids, strict=True):
+        grid = np.arange(down * across).reshape(down // v, v, across // h, h)
+        at.append(grid.transpose(0, 2, 1, 3).reshape(-1, h * v))
+        of.append(np.full(at[-1].shape, k))
+    return np.concatenate(of, 1).ravel(), np.concatenate(at, 1).ravel()
+
+
 @dataclass(frozen=True)
 class Scan:
     parts: tuple[int, ...]
@@ -130,6 +138,8 @@ class Bits:
 
 def _binary(values: np.ndarray, n: int) -> np.ndarray:
     """The low n (at most 16) bits of each value, as a matrix."""
+    if n == 8:
+        return np.unpackbits(values.astype(np.uint8)).reshape(-1, 8)
     return np.unpackbits(values.astype(">u2").view(np.uint8).reshape(-1, 2), axis=1)[:, 16 - n :]
 
 
@@ -214,7 +224,8 @@ def _symbols_refine(blocks: np.ndarray, al: int) -> list:
     return out
 
 
-def _codes(symbols: list[int]) -> tuple[dict[int, int], int, bytes]:
+@lru_cache(64)
+def _codes_of(symbols: tuple[int, ...]) -> tuple[dict[int, int], int, bytes]:
     """Codes of one length for the symbols, and the table's bytes (counts by length, symbols)."""
     n = max(1, len(symbols).bit_length())
     if len(symbols) > 254:
@@ -224,10 +235,19 @@ def _codes(symbols: list[int]) -> tuple[dict[int, int], int, bytes]:
     return {s: i for i, s in enumerate(symbols)}, n, bytes(counts) + bytes(symbols)
 
 
+def _codes(symbols: list[int]) -> tuple[dict[int, int], int, bytes]:
+    return _codes_of(tuple(symbols))
+
+
 def _segment(marker: int, body: bytes) -> bytes:
     return bytes([0xFF, marker]) + struct.pack(">H", len(body) + 2) + body
 
 
+def _rows(blocks: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The blocks in this order, without a copy where it is their own."""
+    return blocks if len(at) == len(blocks) and at[0] == 0 and at[-1] == len(at) - 1 and (np.diff(at) == 1).all() else blocks[at]
+
+
 def write_scan(image: Image, scan: Scan) -> bytes:
     of, at = image.order(scan.parts)
     coefs = [c.coefs.reshape(-1, 64) for c in image.parts]
@@ -247,7 +267,7 @@ def write_scan(image: Image, scan: Scan) -> bytes:
         else:
             symbols = _symbols_dc(dc, of)
     else:
-        band = coefs[scan.parts[0]][at, scan.ss : scan.se + 1]
+        band = _rows(coefs[scan.parts[0]], at)[:, scan.ss : scan.se + 1]
         size = np.abs(band) >> scan.al
         low, high = (int(size.min()), int(size.max())) if size.size else (0, 0)
         if scan.ah and low > 1:
@@ -366,6 +386,8 @@ def _alike(data: bytes, count: int, codes: Codes, tail: int | None) -> tuple[int
 def _whole(bits: np.ndarray) -> np.ndarray:
     """Each row of at most 16 bits as a number."""
     n = bits.shape[1]
+    if n == 8:
+        return np.packbits(bits).astype(np.int32)
     packed = np.packbits(bits, axis=1).astype(np.int32)
     return packed[:, 0] >> (8 - n) if n <= 8 else (packed[:, 0] << 8 | packed[:, 1]) >> (16 - n)
 
@@ -454,8 +476,8 @@ def read_scan(image: Image, scan: Scan, data: bytes, dc: dict, ac: Codes | None,
                 v = np.where(v >> (n - 1), v, v - (1 << n) + 1) * (1 << scan.al)
                 blocks[where, scan.ss : scan.se + 1] = v.reshape(-1, wide)
                 continue
-        elif (blocks[where, scan.ss : scan.se + 1] != 0).all() and (same := _alike(chunk, len(where), ac, wide)) and same[0] == 0:
-            band = blocks[where, scan.ss : scan.se + 1]
+        elif _rows(blocks, where)[:, scan.ss : scan.se + 1].all() and (same := _alike(chunk, len(where), ac, wide)) and same[0] == 0:
+            band = _rows(blocks, where)[:, scan.ss : scan.se + 1]
             blocks[where, scan.ss : scan.se + 1] = band + np.sign(band) * (same[1].astype(np.int32) << scan.al)
             continue
         r, ended = Reader(chunk), 0

@@ -53,8 +53,8 @@ def read_back(image: Image, length: int) -> bytes:
 
 def tensor_feature(rgb: np.ndarray) -> str:
     """Shape and whole-number channel means of a tensor."""
-    sums = rgb.reshape(-1, 3).sum(0, dtype=np.int64) // max(1, rgb.shape[0] * rgb.shape[1])
-    return f"{rgb.shape[0]}x{rgb.shape[1]}x3:" + ",".join(map(str, sums.tolist()))
+    means = [int(rgb[:, :, k].sum(dtype=np.int64)) // max(1, rgb.shape[0] * rgb.shape[1]) for k in range(3)]
+    return f"{rgb.shape[0]}x{rgb.shape[1]}x3:" + ",".join(map(str, means))
 
 
 def jpeg_tensors(media: DataFrame, column: str = "jpeg") -> DataFrame:
