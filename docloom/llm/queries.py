@@ -10,6 +10,7 @@ from docloom.llm.bpe import op7_bpe
 from docloom.llm.lines import OP2_SQL, op2_line_dedup
 from docloom.llm.media import op10_media_columns
 from docloom.llm.mixing import OP1_SQL, op1_mixing
+from docloom.llm.toxicity import op8_toxicity
 from docloom.llm.urlfilter import OP5_SQL, op5_url_filters
 
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": _over("documents", op2_line_dedup),
     "op5_url_filters": _over("pages", op5_url_filters),
     "op7_bpe": _over("documents", op7_bpe),
+    "op8_toxicity": _over("documents", op8_toxicity, "labels"),
     "op10_media_columns": _over("documents", op10_media_columns),
 }
 ORACLES = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_url_filters": OP5_SQL}
