@@ -10,6 +10,7 @@ from docloom.llm.bpe import op7_bpe
 from docloom.llm.lines import OP2_SQL, op2_line_dedup
 from docloom.llm.media import op10_media_columns
 from docloom.llm.mixing import OP1_SQL, op1_mixing
+from docloom.llm.quality import op4_quality
 from docloom.llm.toxicity import op8_toxicity
 from docloom.llm.urlfilter import OP5_SQL, op5_url_filters
 
@@ -21,6 +22,7 @@ def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[Spar
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", op1_mixing),
     "op2_line_dedup": _over("documents", op2_line_dedup),
+    "op4_quality": _over("documents", op4_quality, "labels"),
     "op5_url_filters": _over("pages", op5_url_filters),
     "op7_bpe": _over("documents", op7_bpe),
     "op8_toxicity": _over("documents", op8_toxicity, "labels"),
