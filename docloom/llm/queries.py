@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.bpe import op7_bpe
+from docloom.llm.html import op3_html_extraction
 from docloom.llm.lines import OP2_SQL, op2_line_dedup
 from docloom.llm.media import op10_media_columns
 from docloom.llm.mixing import OP1_SQL, op1_mixing
@@ -22,6 +23,7 @@ def _over(table: str, f: Callable[..., DataFrame], *more: str) -> Callable[[Spar
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", op1_mixing),
     "op2_line_dedup": _over("documents", op2_line_dedup),
+    "op3_html_extraction": _over("pages", op3_html_extraction),
     "op4_quality": _over("documents", op4_quality, "labels"),
     "op5_url_filters": _over("pages", op5_url_filters),
     "op7_bpe": _over("documents", op7_bpe),
