@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.bpe import op7_bpe
 from docloom.llm.html import op3_html_extraction
+from docloom.llm.jaccard import op9_jaccard_join
 from docloom.llm.lines import OP2_SQL, op2_line_dedup
 from docloom.llm.media import op10_media_columns
 from docloom.llm.mixing import OP1_SQL, op1_mixing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": _over("pages", op5_url_filters),
     "op7_bpe": _over("documents", op7_bpe),
     "op8_toxicity": _over("documents", op8_toxicity, "labels"),
+    "op9_jaccard_join": _over("documents", op9_jaccard_join),
     "op10_media_columns": _over("documents", op10_media_columns),
 }
 ORACLES = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_url_filters": OP5_SQL}
