@@ -73,8 +73,12 @@ def previous_ids(rows: DataFrame, group: str, order: str, key: str) -> DataFrame
     return rows.withColumn("previous", F.lag(key).over(Window.partitionBy(group).orderBy(order)))
 
 
+#: Fixed value: what the service's error page says.
+ERROR_PAGE = "we're sorry, an error has occurred"
+
+
 def is_error_page(html: Column) -> Column:
-    return F.contains(F.lower(html), F.lit("we're sorry, an error has occurred"))
+    return F.contains(F.lower(html), F.lit(ERROR_PAGE))
 
 
 def is_quota_error(error: Column) -> Column:

@@ -79,8 +79,9 @@ def notice_rows(notices: DataFrame, details: DataFrame) -> DataFrame:
 def summary_prompt(abstract: Column, body: Column) -> Column:
     """What the summarising model is asked: the abstract if there is one, else the body."""
     source = F.when(abstract.isNotNull() & (abstract != ""), abstract).otherwise(F.coalesce(body, F.lit("")))
-    return F.concat(F.lit("Summarize the following notice in 1-2 sentences: "), source)
+    return F.concat(F.lit("Summarize this notice in one or two sentences: "), source)
 
 
 def clean_summary(c: Column) -> Column:
-    return F.trim(F.replace(c, F.lit("Here is a summary of the notice in 1-2 sentences:"), F.lit("")))
+    """A model's answer without the line that announces it."""
+    return F.trim(F.regexp_replace(c, r"(?i)^\s*here is a summary[^:\n]*:", ""))
