@@ -79,9 +79,9 @@ class Cascade:
 
     def holds(self, key: Column) -> Column:
         """Whether the key is listed: level 1 has it, and not (level 2 has it, and not (level 3 ...))."""
-        answer = F.lit(False) if len(self.levels) % 2 == 0 else F.lit(True)
-        for level in reversed(self.levels):
-            answer = level.holds(key) & answer if level is self.levels[-1] else level.holds(key) & ~answer
+        answer = self.levels[-1].holds(key)
+        for level in reversed(self.levels[:-1]):
+            answer = level.holds(key) & ~answer
         return answer
 
 
