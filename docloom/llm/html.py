@@ -33,10 +33,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _CONTAINER = frozenset("nav footer aside form menu dialog button select fieldset".split())
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption summary legend option tr".split())
 _HINTS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login register share sharing social related recommended recommendations trending popular comment comments disqus respond replies widget widgets toolbar copyright disclaimer pagination pager skip".split()
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login register share sharing social related recommended recommendations trending popular comment comments disqus respond replies widget widgets toolbar copyright disclaimer pagination pager skip adsbygoogle adbox adslot advertbox rail topbar form search reply responses discussion".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-_COMMENTS = frozenset("comment comments disqus respond replies".split())
+_COMMENTS = frozenset("comment comments disqus respond replies reply responses discussion".split())
+_MAIN = frozenset("article main content post entry story".split())
 
 #: The labelled table: words, link density, then the same of the block before and after, heading, list item, inside an
 #: article or main element, hinted at as boilerplate; last whether the block is main text. A star stands for any value, drawn often enough (8 times the square of the stars) to cover its range.
@@ -128,9 +129,9 @@ def trained() -> Node:
     return grow(table[:, :-1], table[:, -1] > 0)
 
 
-def _says(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the element's own name or attributes make it boilerplate, and whether that is reader comments."""
-    hinted, comments = tag in _CONTAINER, False
+def _says(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether the element's own name or attributes make it boilerplate, reader comments, main text, or a header."""
+    hinted, comments, main, header = tag in _CONTAINER, False, tag in ("article", "main"), tag == "header"
     if attributes and tag not in ("html", "body"):
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -138,13 +139,16 @@ def _says(tag: str, attributes: str) -> tuple[bool, bool]:
                 words = {w.lower() for w in _TOKEN.findall(value)}
                 hinted = hinted or not words.isdisjoint(_HINTS)
                 comments = comments or not words.isdisjoint(_COMMENTS)
+                main = main or not words.isdisjoint(_MAIN)
+                header = header or "header" in words
             elif name == "role":
                 hinted = hinted or value.lower() in _ROLES
+                main = main or value.lower() in ("main", "article")
             elif (name == "style" and "display:none" in value.replace(" ", "").lower()) or (name == "aria-hidden" and value.lower() == "true"):
                 hinted = True
         if re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", "", attributes)):
             hinted = True
-    return hinted, comments
+    return hinted, comments, main and not hinted and not comments or tag in ("article", "main"), header
 
 
 def blocks(html: str) -> list[tuple[str, int, int, str, bool, bool]]:
@@ -204,13 +208,13 @@ def blocks(html: str) -> list[tuple[str, int, int, str, bool, bool]]:
         elif not attributes.endswith("/"):
             leaf, leaf_hint = "", False
             _, hinted, article, comments = stack[-1] if stack else ("", False, False, False)
-            own, own_comments = _says(tag, attributes)
-            if tag == "header" and not article:
+            own, own_comments, main, header = _says(tag, attributes)
+            if header and not article:
                 own = True
-            if tag in ("article", "main") and not article and not comments and not own_comments:
+            if main and not article and not comments and not own_comments:
                 # What is around the first article only frames it; a page may mark its whole body.
-                hinted, own = any(t in _CONTAINER for t, *_ in stack), False
-            stack.append((tag, hinted or own, article or tag in ("article", "main"), comments or own_comments))
+                hinted, own = any(t in _CONTAINER for t, *_ in stack), own and tag not in ("article", "main")
+            stack.append((tag, hinted or own, article or main, comments or own_comments))
     end()
     return out
 
