@@ -2,34 +2,87 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import drop_stored, join_by_counted_key, stored
+from docloom.llm.common import drop_stored, stored
+
+#: Edges of one node that a task handles together at least; a node with more is split over salts.
+SPLIT = 4096
+MOST_HOT = 50_000
+
+
+def _groups(batches):
+    """The partition's edges, sorted by node, salt and other end, without repeats; and where each group begins."""
+    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
+    if not parts:
+        return None
+    u, v, salt = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((v, salt, u))
+    u, v, salt = u[order], v[order], salt[order]
+    if not len(u):
+        return None
+    new = np.concatenate([[True], (u[1:] != u[:-1]) | (salt[1:] != salt[:-1])])
+    fresh = new | np.concatenate([[True], v[1:] != v[:-1]])
+    u, v, new = u[fresh], v[fresh], new[fresh]
+    first = np.flatnonzero(new)
+    return u, v, first, np.diff(np.append(first, len(u)))
+
+
+def _edges(u, v, moved):
+    for i in range(0, len(u), 1 << 18):
+        cut = slice(i, i + (1 << 18))
+        yield pa.RecordBatch.from_arrays([pa.array(u[cut]), pa.array(v[cut]), pa.array(moved[cut])], names=["u", "v", "moved"])
+
+
+def _large_star(batches):
+    """Each node gives its larger neighbours the smallest node near it."""
+    found = _groups(batches)
+    if found:
+        u, v, first, size = found
+        least = np.repeat(np.minimum(v[first], u[first]), size)
+        keep = v > u
+        yield from _edges(v[keep], least[keep], least[keep] < u[keep])
+
+
+def _small_star(batches):
+    """Each node and its smaller neighbours get the smallest of these."""
+    found = _groups(batches)
+    if found:
+        u, v, first, size = found
+        least = np.repeat(v[first], size)
+        rest = v != least
+        several = size > 1
+        yield from _edges(np.concatenate([v[rest], u[first]]), np.concatenate([least[rest], v[first]]), np.concatenate([np.ones(rest.sum(), bool), several]))
+
+
+def _dealt(edges: DataFrame, f) -> DataFrame:
+    """Edges (u, v) dealt out by u, a node with many edges over salts; its parts work like nodes of their own, which keeps
+    all connections and costs at most further rounds. The nodes told to the executors are at most MOST_HOT."""
+    most = max(SPLIT, -(-edges.count() // MOST_HOT))
+    hot = edges.groupBy(F.col("u").alias("x")).agg(F.ceil(F.count("*") / most).alias("parts")).where("parts > 1")
+    salted = edges.join(F.broadcast(hot), F.col("u") == F.col("x"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0)).cast("long").alias("salt"))
+    return salted.repartition("u", "salt").mapInArrow(f, "u bigint, v bigint, moved boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for each id in `edges` (columns u and v): the smallest id that links lead to.
 
-    Each round gives every node's neighbours the smallest node that is known near it; rounds grow with the logarithm of
-    the longest chain. A hub with very many neighbours never lands in one task: its row is broadcast (join_by_counted_key).
-    The table of a round is stored in the shared folder, so a lost executor costs no more than the round.
+    A round lets every node give its neighbours the smallest node near it, first the larger, then the smaller ones; it ends
+    when a round moves no edge. Rounds grow with the logarithm of the longest chain. Each round's table is stored in the
+    shared folder, so a lost executor costs no more than the round. Loops and repeated edges count for nothing.
     """
     spark = edges.sparkSession
-    now, path = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least, p1 = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")))
-        large, p2 = stored(join_by_counted_key(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least, p3 = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
-        small = join_by_counted_key(large, least, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after, p4 = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        seen = after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        drop_stored(spark, path, p1, p2, p3)
-        now, path = after, p4
-        if seen == mark:
-            break
-        mark = seen
+    now, path = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    moved = True
+    while moved:
+        both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large, p1 = stored(_dealt(both, _large_star))
+        small, p2 = stored(_dealt(large.select("u", "v"), _small_star))
+        moved = not large.where("moved").isEmpty() or not small.where("moved").isEmpty()
+        drop_stored(spark, path, p1)
+        now, path = small, p2
     stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return stars.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    return stars.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

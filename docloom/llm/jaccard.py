@@ -4,10 +4,10 @@
 2. A class can only be linked to one with which it shares a token of its prefix: the |x| - ceil(0.8 |x|) + 1 first tokens
    in one global order. The order puts frequent tokens last (they are counted over all documents: each batch counts its own,
    those that come up several times are summed), so common passages open no candidates.
-3. Classes that share a prefix token with a token's smallest class (its pivot) are verified against that pivot alone:
-   a number of checks linear in the postings. The links found put similar classes into groups (connected components).
+3. Classes that share prefix tokens with a token's smallest class (its pivot) are verified against one pivot each, the one
+   they share most with: a number of checks linear in the classes. The links found put similar classes into groups (connected components).
 4. Token-group matrix: for tokens that occur in several groups, (token, group) rows tell which groups a class of another
-   group may overlap with. Such a class is sent to the group, where the union of the members' tokens bounds the overlap;
+   group may overlap with, if it shares enough of its prefix with the group. Such a class is sent to the group, where the union of the members' tokens bounds the overlap;
    only a group whose bound reaches 0.8 |x| is opened and its members compared, until one is linked.
 5. Components of all links, given back to all documents of the class.
 
@@ -183,12 +183,29 @@ def _open_groups(batches):
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose id may be among `ids`, so that no other is shuffled: a bit for each id in a map of fixed size (4 MB)."""
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 25))
+    maps = ids.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32768).alias("k")).agg(F.bitmap_construct_agg((F.col("p") % 32768).cast("long")).alias("bits")).collect()
+    bits = np.zeros(1 << 22, np.uint8)
+    for r in maps:
+        bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            keep = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
+
+    return texts.select("id", "text", place.alias("place")).mapInArrow(run, "id bigint, text string")
+
+
 def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (u, v) between queries (g, id) and members (g, id), a link for each query and part of a group at most.
 
-    `texts` (id, text) has the texts of both.
-
-    Groups are cut into parts of PART members; the queries of a part are cut again, and its members sent to each cut.
+    `texts` (id, text) has the texts of both. Groups are cut into parts of PART members; the queries of a part are cut
+    again, and its members sent to each cut.
     """
     parts = members.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("parts"), F.count("*").alias("rows"))
     cuts = queries.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("cuts"), F.count("*").alias("asked"))
@@ -201,6 +218,7 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     rows, path2 = stored(rows)
     uses = rows.groupBy("id").agg(F.count("*").alias("uses"))
     hot, path3 = stored(uses.where(F.col("uses") >= max(100_000, -(-rows.count() // 64))).select("id"))
+    texts = _only(texts, rows)
     if hot.isEmpty():
         rows = rows.join(texts, "id")
     else:  # at most 64 texts
@@ -212,6 +230,18 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     return links
 
 
+def _least_shared(n, least, most):
+    """How many prefix tokens a set of n must share with one of `least` to `most` tokens if they are linked.
+
+    The overlap is at least 4 (n + m) / 9. Of the two prefixes the one that ends first holds all common tokens up to its
+    end; beyond it lie need(n) - 1 tokens, or need(m) - 1. What is left must be shared within the prefixes.
+    """
+    up = lambda x, k: F.floor((x + k - 1) / k)
+    low, high = F.greatest(least, up(4 * n, 5)), F.least(most, F.floor(5 * n / 4))
+    own, other = up(4 * (n + low), 9) - up(4 * n, 5), up(4 * (n + high), 9) - up(4 * high, 5)
+    return F.greatest(F.lit(1), F.least(own, other))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(row id, n_shingles, component) of each document row, from columns doc_id (an integer) and text."""
     spark = docs.sparkSession
@@ -239,16 +269,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n")
     postings, _ = stored(postings.mapInArrow(_share, "token bigint, cls bigint, n bigint, pivot bigint, salted boolean"))
 
-    # The texts that may be compared at all, from here on.
-    wanted = postings.select(F.col("cls").alias("id")).distinct()
-    pool, _ = stored(texts.withColumnRenamed("doc_id", "id").join(wanted, "id"))
-
-    # Step 3: each class against its tokens' pivots, and the pivots of a salted token against its smallest.
-    sizes = postings.select(F.col("pivot").alias("of"), "cls", "n", "pivot").where("cls <> pivot").groupBy("cls", "pivot").agg(F.first("n").alias("n"))
+    # Step 3: each class against the pivot that it shares most tokens with, if it shares an eighth of its prefix, and the
+    # pivots of a salted token against its smallest. What is not linked here is looked for in step 4.
+    pool = texts.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
+    sizes = postings.where("cls <> pivot").groupBy("cls", "pivot").agg(F.count("*").alias("both"), F.first("n").alias("n"))
+    prefix_size = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
+    sizes = sizes.where(8 * F.col("both") >= prefix_size).groupBy("cls").agg(F.max_by("pivot", F.struct("both", -F.col("pivot"))).alias("pivot"))
     salted = postings.where("salted").groupBy("token").agg(F.min("pivot").alias("least"), F.count("*").alias("rows"))
     salted, _ = stored(salted)
-    above = join_by_counted_key(postings.where("salted AND cls = pivot").select("token", "pivot", "n"), salted, "token", "rows").where("pivot <> least").groupBy(F.col("pivot").alias("cls"), F.col("least").alias("pivot")).agg(F.first("n").alias("n"))
-    near = sizes.unionByName(above).select("cls", "pivot").distinct()
+    above = join_by_counted_key(postings.where("salted AND cls = pivot").select("token", "pivot", "n"), salted, "token", "rows").where("pivot <> least").groupBy(F.col("pivot").alias("cls"), F.col("least").alias("pivot")).agg(F.count("*").alias("both")).select("cls", "pivot")
+    near = sizes.unionByName(above).distinct()
     stars = _verify(near.select(F.col("pivot").alias("g"), F.col("pivot").alias("id")).distinct(), near.select(F.col("pivot").alias("g"), F.col("cls").alias("id")), pool)
 
     # Step 4: the token-group matrix, for tokens that lie in several groups.
@@ -260,7 +290,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows"))
     matrix = placed.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
     asks, path4 = stored(placed.select("token", "cls", "n", "g", F.col("rows")))
-    pairs = asks.join(matrix, "token").where("to < g AND 5 * n >= 4 * least AND 4 * n <= 5 * most").select(F.col("to").alias("g"), F.col("cls").alias("id")).distinct()
+    pairs = asks.join(matrix, "token").where("to < g AND 5 * n >= 4 * least AND 4 * n <= 5 * most")
+    pairs = pairs.groupBy(F.col("to").alias("g"), F.col("cls").alias("id")).agg(F.count("*").alias("both"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+    pairs = pairs.where(F.col("both") >= _least_shared(F.col("n"), F.col("least"), F.col("most"))).select("g", "id")
     pairs, path5 = stored(pairs)
     members = placed.select("g", F.col("cls").alias("id")).distinct()
     bridges = _verify(members.join(pairs.select("g").distinct(), "g", "left_semi"), pairs, pool)
