@@ -89,7 +89,7 @@ def test_queries(spark, op, label, parts, held):
     flipped = labels.withColumn(label, (1 - labels[label]).cast("int")).where(f"crc32(cast(doc_id as string)) % {parts} = {held}")
     kept = labels.where(f"crc32(cast(doc_id as string)) % {parts} <> {held}")
     again = {r.doc_id: r.score for r in op(docs, kept.unionByName(flipped)).collect()}
-    assert all(again[r.doc_id] == r.score for r in got)  # held-out labels are never learnt
+    assert all(abs(again[r.doc_id] - r.score) < 1e-5 for r in got)  # held-out labels are never learnt
     assert op(docs.limit(0), labels).count() == 0
     assert {r.score for r in op(docs, labels.limit(0)).collect()} == {0.0}
 
