@@ -103,8 +103,11 @@ def _describe(batches):
             d1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             d2.append(int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
             tokens.append(s)
-        found, count = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.uint64), return_counts=True)
-        found, count = found[count > 2].view(np.int64), count[count > 2]
+        every = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        tokens.clear()
+        every.sort()
+        found, count = np.unique(every[2:][every[2:] == every[:-2]], return_counts=True)  # the third and later ones
+        found, count = found.view(np.int64), count + 2
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.nulls(len(n), pa.int64())], names=_DESCRIBED)
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.nulls(len(found), batch.column(0).type), pa.array(count), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()), pa.array(found)], names=_DESCRIBED)
