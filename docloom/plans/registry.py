@@ -219,11 +219,12 @@ def date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", notices.comment_window(published, closes).alias("comment_window"))
 
 
-_DICTIONARY = """(VALUES ('united states', 'USA'), ('united kingdom', 'UK'), ('saudi arabia', 'KSA'), ('china', 'PRC'))"""
+_PAIRS = "('united states', 'USA'), ('united kingdom', 'UK'), ('saudi arabia', 'KSA'), ('china', 'PRC')"
+_DICTIONARY = f"(VALUES {_PAIRS})"
 
 
 def _dictionary(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {_DICTIONARY.strip('()') and 'VALUES' + _DICTIONARY[7:-1]} AS d(agency, abbreviation)")
+    return spark.sql(f"SELECT * FROM VALUES {_PAIRS} AS d(agency, abbreviation)")
 
 
 _INITIALS = r"array_to_string(list_transform(list_filter(regexp_split_to_array(lower(n_name), '\s+'), lambda w: w <> ''), lambda w: upper(left(w, 1))), '')"
