@@ -83,3 +83,15 @@ def is_error_page(html: Column) -> Column:
 
 def is_quota_error(error: Column) -> Column:
     return F.contains(F.lower(error), F.lit("quota"))
+
+
+def with_relevance(rows: DataFrame, provider, text: str = "text") -> DataFrame:
+    """The rows with `relevant`: false for short abstracts, which never reach the model; else whether its answer is yes."""
+    from docloom.operators.providers import chat
+
+    abstract = abstract_of(F.col(text))
+    gate = F.coalesce(worth_asking(abstract), F.lit(False))
+    prompt = F.concat(F.lit("Does this text answer a request for comments at length, rather than merely describe a comment? Yes or No alone.\n\n"), abstract)
+    asked = chat(rows.where(gate).withColumn("_prompt", prompt), "_prompt", provider, "_answer")
+    judged = asked.withColumn("relevant", F.coalesce(says_yes(F.col("_answer")), F.lit(False))).select(*rows.columns, "relevant")
+    return judged.unionByName(rows.where(~gate).withColumn("relevant", F.lit(False)))

@@ -60,6 +60,40 @@ def search(notices: DataFrame, terms: list[str], key: str, text: str, order: lis
     return first.orderBy("term_idx", "term_rank").limit(cap)
 
 
+def search_order(kind: str, published: str, key: str, relevance: Column | None = None) -> list[Column]:
+    """'newest', 'oldest' or 'relevance' (by default the order of the key) as sort columns; ties go to the smaller key."""
+    if kind not in ("newest", "oldest", "relevance"):
+        raise ValueError(f"unknown order: {kind}")
+    if kind == "relevance":
+        return [*([relevance.desc()] if relevance is not None else []), F.asc(key)]
+    return [F.desc(published) if kind == "newest" else F.asc(published), F.asc(key)]
+
+
+def matched_terms(text: Column, terms: list[str]) -> Column:
+    """How many of the terms the text contains: a relevance that needs no server."""
+    return F.size(F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(F.lower(text), t)))
+
+
+def existing_ids(report: DataFrame) -> DataFrame:
+    """The ids that a stored report already has."""
+    return report.where(F.col("doc_id").isNotNull() & (F.trim("doc_id") != "")).select(F.trim("doc_id").alias("document_number")).distinct()
+
+
+def fill_close_dates(rows: DataFrame, provider, body: str = "body") -> DataFrame:
+    """`comments_close_on` (yyyy-MM-dd) where it is null: asked for from the body, kept only if it is a date after publication.
+
+    Rows that have a date never reach the model.
+    """
+    from docloom.operators.providers import chat
+
+    known, open_ = rows.where("comments_close_on IS NOT NULL"), rows.where("comments_close_on IS NULL")
+    prompt = F.concat(F.lit("When do comments on this notice close? Answer with the date alone (MM/DD/YYYY), or NONE. It was published on "), F.coalesce("publication_date", F.lit("an unknown day")), F.lit(".\n"), F.coalesce(body, F.lit("")))
+    asked = chat(open_.withColumn("_prompt", prompt), "_prompt", provider, "_answer")
+    found = F.to_date(F.try_to_timestamp(F.trim("_answer"), F.lit("MM/dd/yyyy")))
+    later = F.coalesce(found > F.to_date(F.try_to_timestamp("publication_date", F.lit("yyyy-M-d"))), found.isNotNull())
+    return known.unionByName(asked.withColumn("comments_close_on", F.when(later, F.date_format(found, "yyyy-MM-dd"))).select(*rows.columns))
+
+
 def comment_window(published: Column, closes: Column) -> Column:
     """'published - closes', or the first alone where no closing date is known."""
     return F.when(closes.isNotNull() & (closes != ""), F.concat(published, F.lit(" - "), closes)).otherwise(published)

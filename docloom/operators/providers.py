@@ -25,6 +25,10 @@ class EmbeddingProvider(Protocol):
     def embed(self, texts: list[str]) -> list[list[float]]: ...
 
 
+class FetchProvider(Protocol):
+    def fetch(self, urls: list[str]) -> list[tuple[int, bytes]]: ...
+
+
 class EchoChat:
     """Answers with the last line of the prompt that isn't blank, or a fixed answer where the prompt has a given phrase."""
 
@@ -102,3 +106,15 @@ def chat(df: DataFrame, prompt: str, provider: ChatProvider, out: str = "answer"
 def embed(df: DataFrame, text: str, provider: EmbeddingProvider, out: str = "embedding") -> DataFrame:
     """The rows with the text's vector."""
     return _mapped(df, text, provider.embed, [(out, pa.list_(pa.float32()), "array<float>")])
+
+
+def fetch(df: DataFrame, url: str, provider: FetchProvider) -> DataFrame:
+    """The rows with `status`, `body` and lower-cased `suffix` of the url; what was not answered with 200 has no body."""
+    from pyspark.sql import functions as F
+
+    from docloom.functions.text import url_suffix
+
+    kind = pa.struct([("status", pa.int32()), ("body", pa.binary())])
+    call = lambda urls: [{"status": s, "body": b if s == 200 else None} for s, b in provider.fetch(urls)]
+    got = _mapped(df, url, call, [("_got", kind, "struct<status:int,body:binary>")])
+    return got.select(*df.columns, F.col("_got.status").alias("status"), F.col("_got.body").alias("body"), url_suffix(F.col(url)).alias("suffix"), F.col("_got_error").alias("error"))

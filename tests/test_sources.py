@@ -6,9 +6,9 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import providers
+from docloom.operators import comments, notices, providers
 from docloom.plans import rag
-from docloom.sources import files, html, sinks
+from docloom.sources import files, html, sinks, vectors
 from docloom.sources.paged import PagedComments
 from docloom.streaming import logs
 
@@ -118,6 +118,42 @@ def test_providers(spark):
     assert e[0] == e[1] != e[2]
 
 
+def test_fetch_and_vectors(spark, tmp_path):
+    class Web:
+        def fetch(self, urls):
+            return [(200, u.encode()) if "ok" in u else (404, b"") for u in urls]
+
+    df = spark.createDataFrame([("http://h/ok.PDF",), ("http://h/gone.pdf",), (None,)], "url string")
+    got = {r.url: (r.status, r.body and bytes(r.body), r.suffix) for r in providers.fetch(df, "url", Web()).collect()}
+    assert got == {"http://h/ok.PDF": (200, b"http://h/ok.PDF", "pdf"), "http://h/gone.pdf": (404, None, "pdf"), None: (None, None, None)}
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.json").write_text("[[1.0, 2.0], [3.0, 4.5]]")
+    (tmp_path / "flat.json").write_text("[0.5, 1.5]")
+    (tmp_path / "odd.json").write_text('{"x": 1}')
+    assert sorted((r.file, r.pos, r.embedding) for r in vectors.read_vectors(spark, str(tmp_path)).collect()) == [("flat.json", 0, [0.5, 1.5]), ("one.json", 0, [1.0, 2.0]), ("one.json", 1, [3.0, 4.5])]
+
+
+def test_models_are_asked_only_where_needed(spark):
+    class Strict:
+        def complete(self, prompts):
+            assert all("short" not in p and "known" not in p for p in prompts)
+            return ["Yes" if "good" in p else "07/09/2023" if "closes" in p else "NONE" for p in prompts]
+
+    rows = spark.createDataFrame([("short",), ("good " * 60,), ("bad " * 60,), (None,)], "text string")
+    got = {r.text: r.relevant for r in comments.with_relevance(rows, Strict()).collect()}
+    assert got == {"short": False, "good " * 60: True, "bad " * 60: False, None: False}
+    n = spark.createDataFrame([("2023-01-02", "2023-06-01", "known"), (None, "2023-06-01", "closes"), (None, "2023-08-01", "closes"), (None, "2023-06-01", "x")], "comments_close_on string, publication_date string, body string")
+    assert sorted((r.comments_close_on or "") for r in notices.fill_close_dates(n, Strict()).collect()) == ["", "", "2023-01-02", "2023-07-09"]
+
+
+def test_orders_and_known_ids(spark):
+    n = spark.createDataFrame([("a", "2023-01-01", "data and ai"), ("b", "2023-02-01", "data"), ("c", None, "x")], "id string, day string, title string")
+    first = lambda kind: n.orderBy(*notices.search_order(kind, "day", "id", notices.matched_terms(F.col("title"), ["data", "ai"]))).first().id
+    assert [first(k) for k in ("newest", "oldest", "relevance")] == ["b", "c", "a"]
+    report = spark.createDataFrame([(" d1 ",), (None,), ("",), ("d1",)], "doc_id string")
+    assert [r[0] for r in notices.existing_ids(report).collect()] == ["d1"]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     return spark.createDataFrame([("f1", "Cats purr. Dogs bark loudly. Birds sing."), ("f2", "Rain falls.")], "file string, text string")
