@@ -3,8 +3,8 @@
 A text is cut into words by the file's pre-tokenizer pattern. A short word holds its part boundaries and the ranks of
 adjacent parts in one contiguous array: the smallest rank is found by scanning, its boundary deleted and the two ranks
 beside it looked up anew, until no adjacent parts merge. Long words (over `LONG` bytes), where scanning would take the
-square of the length, use a heap over the same ranks and give the same parts. Words that come again are taken from a
-table of bounded size. The special token's own text becomes its single id, as the library does by default.
+square of the length, use a heap over the same ranks and give the same parts. Words that come again in a task are
+taken from a table of bounded size. The special token's own text becomes its single id, as the library does by default.
 
 Defined results: a null text is an empty one, with no tokens; decoding gives the text back, with U+FFFD for bytes that
 are not UTF-8. Other columns pass through; repeated rows give the same values; an empty table gives none.
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import tidy
+
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 128
@@ -40,7 +42,7 @@ def byte_letters() -> dict[str, int]:
 class BytePairs:
     """A tokenizer read from the JSON text of its file."""
 
-    def __init__(self, spec: str, table: int = 400_000):
+    def __init__(self, spec: str, table: int = 200_000):
         import regex
 
         read, letters = json.loads(spec), byte_letters()
@@ -197,9 +199,10 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 part = batch.slice(start, STEP)
                 ids = pairs.encode([t or "" for t in part.column(part.schema.names.index("text")).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array([pairs.decode(i) for i in ids], pa.string())], names=[*part.schema.names, "_bpe_ids", "_bpe_text"])
+        pairs.table.clear()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, _bpe_ids binary, _bpe_text string")
+    return docs.mapInArrow(tidy(run), f"{schema}, _bpe_ids binary, _bpe_text string")
 
 
 def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -220,9 +223,10 @@ def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 of_ids.append(hashlib.sha256(ids).hexdigest())
                 of_text.append(hashlib.sha256(pairs.decode(ids).encode("utf-8", "replace")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        pairs.table.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_bpe(docs: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,21 @@ def join_by_counted_key(left: DataFrame, counted: DataFrame, key: str, n: str, l
     limit = max(least, -(-total // most_hot))
     hot = F.broadcast(counted.where(F.col(n) >= limit))
     return left.join(hot, key).unionByName(left.join(counted.where(F.col(n) < limit).hint("merge"), key))
+
+
+def tidy(f):
+    """The batch function, with memory that it has freed given back to the system at its end.
+
+    Python workers serve one task after the other; without this each would hold the peak of all that it has run.
+    """
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return run

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import drop_stored, stored
+from docloom.llm.common import drop_stored, stored, tidy
 
 #: Edges of one node that a task handles together at least; a node with more is split over salts.
 SPLIT = 4096
@@ -64,7 +64,7 @@ def _dealt(edges: DataFrame, f) -> DataFrame:
     most = max(SPLIT, -(-edges.count() // MOST_HOT))
     hot = edges.groupBy(F.col("u").alias("x")).agg(F.ceil(F.count("*") / most).alias("parts")).where("parts > 1")
     salted = edges.join(F.broadcast(hot), F.col("u") == F.col("x"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0)).cast("long").alias("salt"))
-    return salted.repartition("u", "salt").mapInArrow(f, "u bigint, v bigint, moved boolean")
+    return salted.repartition("u", "salt").mapInArrow(tidy(f), "u bigint, v bigint, moved boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import drop_stored, join_by_counted_key, stored
+from docloom.llm.common import drop_stored, join_by_counted_key, stored, tidy
 from docloom.llm.graph import components
 from docloom.llm.textvec import Texts, hashed, mix, pieces
 
@@ -201,7 +201,7 @@ def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
             keep = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
             yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
 
-    return texts.select("id", "text", place.alias("place")).mapInArrow(run, "id bigint, text string")
+    return texts.select("id", "text", place.alias("place")).mapInArrow(tidy(run), "id bigint, text string")
 
 
 def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFrame:
@@ -227,7 +227,7 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     else:  # at most 64 texts
         few = texts.join(F.broadcast(hot), "id")
         rows = rows.join(F.broadcast(few), "id").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(texts, "id"))
-    found = rows.select("g", "s", "role", "id", "text").repartition("g", "s").sortWithinPartitions("g", "s", "role", "id").mapInArrow(_open_groups, "u bigint, v bigint")
+    found = rows.select("g", "s", "role", "id", "text").repartition("g", "s").sortWithinPartitions("g", "s", "role", "id").mapInArrow(tidy(_open_groups), "u bigint, v bigint")
     links, _ = stored(found)
     drop_stored(texts.sparkSession, path, path2, path3)
     return links
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(row id, n_shingles, component) of each document row, from columns doc_id (an integer) and text."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described, _ = stored(texts.mapInArrow(_describe, "id bigint, n bigint, d1 bigint, d2 bigint, token bigint"))
+    described, _ = stored(texts.mapInArrow(tidy(_describe), "id bigint, n bigint, d1 bigint, d2 bigint, token bigint"))
     rows = described.where("d1 IS NOT NULL")
     classes = rows.where("id IS NOT NULL AND n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"))
     classes, _ = stored(classes)
@@ -265,12 +265,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Prefixes of one text of each class.
     ids = classes.where(F.col("n") >= SIZE).select(F.col("cls"), F.col("d1").alias("of"), F.lit(1).alias("one"))
-    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(_prefixes(shared), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>")
+    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>")
     prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", F.arrays_zip("tokens", "salts").alias("z"))
     postings = prefix.select("cls", "n", F.explode("z").alias("z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n")
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("cls"), F.col("salts").cast("long"))).otherwise(0)
     postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n")
-    postings, _ = stored(postings.mapInArrow(_share, "token bigint, cls bigint, n bigint, pivot bigint, salted boolean"))
+    postings, _ = stored(postings.mapInArrow(tidy(_share), "token bigint, cls bigint, n bigint, pivot bigint, salted boolean"))
 
     # Step 3: each class against the pivot that it shares most tokens with, if it shares an eighth of its prefix, and the
     # pivots of a salted token against its smallest. What is not linked here is looked for in step 4.

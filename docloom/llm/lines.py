@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import SPACES, drop_stored, join_by_counted_key, stored
+from docloom.llm.common import SPACES, join_by_counted_key, stored, tidy
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -67,7 +67,7 @@ def _rebuild(min_chars: int):
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """The documents with shortened `text`, and `_line_n` (lines before) and `_line_dropped` beside the other columns."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    keys = docs.where("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("binary")).mapInArrow(_keys(min_chars), f"_line_id {kind}, _line_key binary")
+    keys = docs.where("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("binary")).mapInArrow(tidy(_keys(min_chars)), f"_line_id {kind}, _line_key binary")
     counted = keys.groupBy("_line_key").agg(F.count_distinct("_line_id").alias("_line_docs"), F.max("_line_id").alias("_line_keeper"), F.count("*").alias("_line_rows"))
     counted, _ = stored(counted.where(F.col("_line_docs") >= min_docs))
     hits = join_by_counted_key(keys, counted, "_line_key", "_line_rows").where("_line_id < _line_keeper")
@@ -76,7 +76,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     joined = joined.join(drops, joined["doc_id"] == drops["_line_doc"], "left").drop("_line_doc")
     rest = [f for f in joined.schema.fields if f.name not in ("_line_text", "_line_drop")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", _line_text binary, _line_dropped bigint"
-    out = joined.mapInArrow(_rebuild(min_chars), schema).withColumn("text", F.decode("_line_text", "UTF-8"))
+    out = joined.mapInArrow(tidy(_rebuild(min_chars)), schema).withColumn("text", F.decode("_line_text", "UTF-8"))
     return out.select(*docs.columns, "_line_n", "_line_dropped")
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import tidy
 from docloom.llm.labelled import fold, sample
 from docloom.llm.textvec import Texts, hashed, pieces
 
@@ -153,7 +154,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=[*names, "_quality_score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, _quality_score double")
+    return docs.mapInArrow(tidy(run), f"{schema}, _quality_score double")
 
 
 def op4_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
