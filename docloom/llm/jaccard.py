@@ -33,6 +33,8 @@ from docloom.llm.graph import components
 from docloom.llm.textvec import Texts, hashed, mix, pieces
 
 SIZE = 5
+#: The least size of a set that can be linked to an unequal one: 4 shingles to 5. Smaller sets have only their copies.
+LEAST = 4
 #: Rows of one group that a task handles together.
 PART = 128
 #: Postings of one token that a task handles together.
@@ -124,7 +126,7 @@ def _prefixes(frequent):
         for batch in batches:
             rows, prefix, salts, n, d1 = [], [], [], [], []
             for i, s in _sets(batch.column(1)):
-                if len(s) < SIZE:
+                if len(s) < LEAST:
                     continue  # linked only to equal sets
                 keep = len(s) - need(len(s)) + 1
                 weight = np.zeros(len(s), np.int64)
@@ -264,7 +266,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((tokens[order], frequent["n"].to_numpy(np.int64)[order]))
 
     # Prefixes of one text of each class.
-    ids = classes.where(F.col("n") >= SIZE).select(F.col("cls"), F.col("d1").alias("of"), F.lit(1).alias("one"))
+    ids = classes.where(F.col("n") >= LEAST).select(F.col("cls"), F.col("d1").alias("of"), F.lit(1).alias("one"))
     prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>")
     prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", F.arrays_zip("tokens", "salts").alias("z"))
     postings = prefix.select("cls", "n", F.explode("z").alias("z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n")

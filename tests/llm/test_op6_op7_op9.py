@@ -150,6 +150,19 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()} == brute_components(rows)
 
 
+def test_small_sets_are_linked(spark):
+    four, five = "a b c d e f g h", "a b c d e f g h i"
+    long = "p q r s t u v w x"
+    turns = " ".join(["k l m n"] * 6)  # 4 distinct shingles in 24 words
+    texts = [four, five, four, "b c d e f g h", five.upper(), "z " + five, long, long[:-2], turns, turns + " o", "a b c d e f g i"]
+    rows = [(i + 1, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate([four, five, turns] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()}
+    assert got == brute_components(rows)
+    assert got[1][1] == got[2][1] == got[6][1] == 1 and got[8][1] == 7 and got[10] == (5, 9)
+    assert {r.doc_id for r in jaccard.keep_one(df).collect()} == {1, 4, 7, 9, 11}
+
+
 def test_salted_tokens_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SALT", 4)
     rows = [(i, " ".join(["common words in every text here", *[f"w{j}" for j in range(20)], f"own{i}"])) for i in range(60)]
