@@ -380,9 +380,7 @@ def log_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    pages = table(spark, sf_dir, "pages").where(~raw.rlike("&[a-z]*($|[^;a-z])"))
-    return html.parsed_pages(pages).select("page_id", "title")
+    return html.parsed_pages(table(spark, sf_dir, "pages")).select("page_id", "title")
 
 
 @query("html_links_pick", '''SELECT page_id, len(ls) AS n_links, coalesce(list_filter(ls, lambda x: contains(x, 'pdf'))[1], ls[1]) AS link FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS ls FROM pages)''')

@@ -2,12 +2,14 @@ import datetime
 import io
 import json
 import zipfile
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import comments, notices, providers
 from docloom.plans import rag
+from docloom.plans.registry import QUERIES
 from docloom.sources import files, html, sinks, vectors
 from docloom.sources.paged import PagedComments
 from docloom.streaming import logs
@@ -57,6 +59,14 @@ def test_html(spark):
     assert html.agencies(pages).where("page_id = 1").first().agency == "Office Of The U.S. Trade"
 
 
+def test_every_page_has_its_title(spark, tmp_path):
+    titles = ["AT&T", "Q&A", "a & b", "R&D &amp; more", "&copy 2023", "&ampx", "end &", "&bogus; &bogus", "&middot;&quot;x&quot;", "plain", ""]
+    rows = [(i, f"<html><head><title>{t}</title></head><body>{t}</body></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.title for r in QUERIES["html_title"](spark, str(tmp_path)).collect()}
+    assert got == {i: unescape(t) for i, t in enumerate(titles)}
+
+
 def test_paged_source(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
