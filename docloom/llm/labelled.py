@@ -11,15 +11,32 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def labelled(labels: DataFrame, label: str, keep: Column) -> DataFrame:
+    """(doc_id, y) of the rows that `keep` selects. Labels other than 0 and 1 don't count; of several of one document the largest does."""
+    return labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & keep).groupBy("doc_id").agg(F.max(label).alias("y"))
+
+
+def seeded(label: str) -> Column:
+    """An order of the ids that does not depend on partitions."""
+    return F.xxhash64(F.lit(f"sample-{label}"), "doc_id")
+
+
+def first_ids(ids: DataFrame, label: str, most_rows: int) -> DataFrame:
+    return ids.orderBy(seeded(label), "doc_id").limit(most_rows)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, most_bytes: int) -> tuple[list[str], list[int]]:
+    """Texts of at most `most_bytes` bytes and labels of these few ids, in the order of the ids."""
+    texts = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= most_bytes)
+    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.first("text").alias("text")).collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return [r["text"] or "" for r in rows], [int(r["y"]) for r in rows]
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most_rows: int, most_bytes: int) -> tuple[list[str], list[int]]:
     """At most `most_rows` labelled texts of at most `most_bytes` bytes, in a seeded order that does not depend on partitions.
 
     `keep` selects the rows to learn from, by `doc_id`. Labels other than 0 and 1 don't count; of several labels of one
     document the largest does. Only ids and labels are ordered; texts are fetched for the chosen ids alone.
     """
-    ids = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & keep).groupBy("doc_id").agg(F.max(label).alias("y"))
-    ids = ids.orderBy(F.xxhash64(F.lit(f"sample-{label}"), "doc_id"), "doc_id").limit(most_rows)
-    texts = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= most_bytes)
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.first("text").alias("text")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] or "" for r in rows], [int(r["y"]) for r in rows]
+    return texts_of(docs, first_ids(labelled(labels, label, keep), label, most_rows), most_bytes)

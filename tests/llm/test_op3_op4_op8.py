@@ -94,6 +94,22 @@ def test_queries(spark, op, label, parts, held):
     assert {r.score for r in op(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_rare_languages_get_their_own_threshold(spark):
+    rnd = random.Random(4)
+    words = {"en": "the of and quiet words in a text", "es": "los las una con otras cosas del texto", "fr": "dans pour avec une page du livre"}
+    rows = []
+    for lang, toxic, clean in (("en", 150, 1500), ("es", 40, 200), ("fr", 10, 100)):
+        for y, n in ((1, toxic), (0, clean)):
+            for _ in range(n):
+                text = rnd.choices(words[lang].split(), k=12) + ["scumbag"] * (y or lang == "es") + ["vilepig"] * (y and lang == "es")  # a clean Spanish word
+                rows.append((len(rows), " ".join(rnd.sample(text, len(text))), y))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), most_rows=300)
+    other, own = model.limits[0], dict(zip(toxicity.LANGUAGES, model.limits, strict=True))
+    assert own["es"] != other and own["fr"] == own["de"] == other  # 10 toxic French rows are too few
+    assert model.own == ("en", "es")
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver tables are absent")
 def test_on_driver_rows(spark):
     d = "/root/testdata/sf0.01"
