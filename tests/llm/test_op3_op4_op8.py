@@ -110,6 +110,18 @@ def test_rare_languages_get_their_own_threshold(spark):
     assert model.own == ("en", "es")
 
 
+def test_sample_is_as_large_as_documented(spark, monkeypatch):
+    rows = [(i, f"text {i}", int(i % 5 == 0)) for i in range(8000)] + [(9000 + i, "long " * 12_000 + str(i), 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = df.where("crc32(cast(doc_id as string)) % 5 <> 0")
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, **_: texts)
+    texts = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert 6000 <= len(texts) <= 6000 + 200 < kept.count()
+    few = df.where("doc_id < 50 OR doc_id >= 9000")
+    texts = toxicity.fit(few.select("doc_id", "text"), few.select("doc_id", "toxic"))
+    assert len(texts) == kept.join(few.select("doc_id"), "doc_id").count() and max(map(len, texts)) > 60_000
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver tables are absent")
 def test_on_driver_rows(spark):
     d = "/root/testdata/sf0.01"
