@@ -322,7 +322,7 @@ def file_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def report_row_na(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").where("doc_id <> 0")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return sinks.report(docs.select("doc_id", "source", "quality", F.substring("text", 1, 49000).alias("comment_text")))
 
 

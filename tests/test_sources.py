@@ -111,6 +111,13 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).where("document_id = 'd1'").count() == 1
 
 
+def test_document_zero_is_reported(spark, tmp_path):
+    spark.createDataFrame([(0, "a", " x "), (1, "b", "y")], "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["report_row_na"](spark, str(tmp_path)).select("doc_id", "source", "quality", "comment_text").collect())
+    assert got == [("1", "b", "1", "y"), ("N/A", "a", "N/A", "x")]
+
+
 def test_providers(spark):
     class Counting:
         def complete(self, prompts):
