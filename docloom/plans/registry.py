@@ -429,4 +429,4 @@ def structured_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = docs.select(F.col("doc_id").cast("string").alias("file"), "text")
     about = docs.select(F.col("doc_id").cast("string").alias("file"), F.col("doc_id").cast("string").alias("comment_id"), F.lit("2023-06-15").alias("date"), F.col("source").alias("commenter"))
-    return rag.structured_report(files, about, providers.HashEmbedding(), providers.EchoChat({"organization": "n/a", "Question: n/a": "n/a"}), 1000)
+    return rag.structured_report(files, about, providers.HashEmbedding(), providers.PassageChat(), 1000)

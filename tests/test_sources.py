@@ -194,6 +194,17 @@ def test_report_asks_in_two_waves(spark, corpus):
     assert named.organization_type != "N/A" and named.comment_text.startswith("Cats")
 
 
+def test_registered_report_asks_both_waves(spark, tmp_path):
+    rows = [(i, f"Comment number {i} on the rule.", f"s{i}") for i in range(20)] + [(20, None, "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["structured_report"](spark, str(tmp_path)).collect()
+    named = {r.file for r in got if r.organization_name.startswith("Organization ")}
+    assert len(got) == 21 and 0 < len(named) < 20 and "20" not in named
+    for r in got:
+        second = {r[c] for c in rag.SECOND_WAVE}
+        assert second == ({f"Comment number {r.file} on the rule."} if r.file in named else {"N/A"})
+
+
 def test_standardize_keeps_order(spark):
     text = "\n\n".join(f"part{i} words here" for i in range(12))
     df = spark.createDataFrame([("f", text)], "file string, text string").withColumn("metadata", F.struct(F.lit(1).alias("a")))
