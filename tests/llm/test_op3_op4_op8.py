@@ -2,12 +2,14 @@
 
 import os
 import random
+import time
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 
 from docloom.llm import quality, toxicity
-from docloom.llm.html import blocks, extract_text, main_text, op3_html_extraction
+from docloom.llm.html import blocks, extract_text, features, labelled_pages, main_text, op3_html_extraction, trained
 from docloom.llm.textvec import Texts
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header class="site"><a href=/>Home</a><h2>Site name</h2></header>
@@ -27,12 +29,119 @@ def test_main_text():
     long = "<article>" + "".join(f"<p>paragraph {i} says something</p>" for i in range(20_000)) + "</article>"
     assert main_text(long).count("\n") == 19_999
     assert main_text("<article><p>a < b and \"c' > d</p><p>next one &am</p>") == "a < b and \"c' > d\nnext one &am"
-    assert main_text("<article>" + "<div" * 3000) == "" or True  # broken markup ends
+    assert main_text("<article><p>kept</p>" + "<div" * 3000) == "kept"  # the unclosed tag takes the rest
+
+
+def test_article_content_is_never_dropped_by_its_names():
+    kept = ['<h2 id="related-work">Related work</h2>', '<h2 id="Form_and_content">Form and content</h2>', '<section id="search"><p>Search words</p></section>', '<p class="comment-on-law">A law</p>', "<p>Les.</p>", '<li class="share">Item</li>']
+    page = "<article><h1>Title</h1>" + "".join(kept) + "</article>"
+    assert main_text(page) == "Title\nRelated work\nForm and content\nSearch words\nA law\nLes.\nItem"
+    assert main_text("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> as <object>fallback words</object> go</p></article>") == "Energy is E=m as fallback words go"
+    gone = ['<aside>About us</aside>', '<div class="related-stories"><p>More to read</p></div>', '<div id="comments"><p>' + "I say so too " * 40 + "</p></div>", '<div class="ad">' + "buy it now " * 50 + "</div>", "<form><p>Your mail</p></form>", '<p hidden>unseen</p>', '<ul><li><a href="/a">A</a></li><li><a href="/b">B</a></li></ul>']
+    assert main_text("<article><h1>Title</h1><p>The text itself.</p>" + "".join(gone) + "</article>") == "Title\nThe text itself."
+
+
+def test_neighbours_decide_without_an_article():
+    text, link = "<div>plain words that say something about the matter at hand here now</div>", '<div><a href="/x">one linked line of words</a></div>'
+    long = "<div>" + "the long text goes on and on " * 8 + "</div>"
+    assert main_text(long + text + long).count("\n") == 2
+    assert main_text(link + text + link) == "" and main_text(long + link + long).count("\n") == 1
+    assert main_text('<div class="sidebar-right"><article><p>Real</p></article></div>') == "Real"
+    assert main_text('<div class="related"><article><p>Other</p></article></div><article><p>Real</p></article>') == "Real"
+
+
+def plain_classifier(found):
+    """The tree walked block by block over features taken one by one."""
+    out = []
+    for i, b in enumerate(found):
+        around = [found[j] if 0 <= j < len(found) else None for j in (i, i - 1, i + 1)]
+        row = [v for n in around for v in ((n.words, n.linked / n.words) if n else (0, 0))]
+        row += [b.element in ("h1", "h2", "h3", "h4", "h5", "h6"), b.element == "li", b.article, b.sign]
+        node = trained()
+        while node.feature >= 0:
+            node = node.low if row[node.feature] <= node.cut else node.high
+        out.append(node.answer)
+    return out
+
+
+class PlainBlocks(HTMLParser):
+    """Blocks of a well-formed page by another parser: text, words, words in links."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.parts, self.link = [], [], 0
+
+    def cut(self):
+        text = " ".join("".join(t for t, _ in self.parts).split())
+        if text:
+            self.out.append((text, len(text.split()), sum(len(t.split()) for t, inside in self.parts if inside)))
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.link += 1
+        elif tag in ("p", "div", "ul", "li", "h2", "article", "nav"):
+            self.cut()
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.link -= 1
+        elif tag in ("p", "div", "ul", "li", "h2", "article", "nav"):
+            self.cut()
+
+    def handle_data(self, data):
+        self.parts.append((data, self.link > 0))
+
+
+def random_page(rnd, depth=0):
+    out = []
+    for _ in range(rnd.randrange(1, 7)):
+        words = " ".join(rnd.choice(["word", "&amp;", "x&lt;y", "caf&eacute;", "<i>soft</i>", '<a href="/u?a=1&amp;b">link text</a>']) for _ in range(rnd.choice([1, 2, 5, 14, 40])))
+        tag = rnd.choice(["p", "h2", "li", "div", "ul", "article", "nav"])
+        name = rnd.choice(["", "", ' class="ad"', ' class="form"', ' id="x"'])
+        inner = random_page(rnd, depth + 1) if tag in ("div", "ul", "article", "nav") and depth < 3 else words
+        out.append(f"<{tag}{name}>{inner}</{tag}>")
+    return "".join(out)
+
+
+def test_blocks_and_answers_equal_brute_force():
+    rnd = random.Random(9)
+    for _ in range(300):
+        page = random_page(rnd)
+        found, plain = blocks(page), PlainBlocks()
+        plain.feed(page)
+        plain.close()
+        plain.cut()
+        assert [(b.text, b.words, b.linked) for b in found] == plain.out
+        answers = plain_classifier(found)
+        if any(answers):
+            assert main_text(page) == "\n".join(b.text for b, keep in zip(found, answers, strict=True) if keep)
+
+
+def test_the_tree_knows_its_table_and_asks_neighbours():
+    pages = labelled_pages()
+    right = [a == p for found, answers in pages for a, p in zip(answers, plain_classifier(found), strict=True)]
+    assert np.mean(right) >= 0.98 and features(pages[0][0]).shape[1] == 10
+    asked, nodes = set(), [trained()]
+    for node in nodes:
+        if node.feature >= 0:
+            asked.add(node.feature)
+            nodes += [node.low, node.high]
+    assert {0, 1, 2, 3, 4} <= asked  # words, own density, words and density before, words after
+
+
+@pytest.mark.parametrize("broken", ["<a '", "<a =\"", "<a \"'>", "<div>", "</x></p>", "<p " + "a" * 50, "<template>", "<a href=x>", "<", "<!--", "&", "<b class='"])
+def test_time_grows_with_the_page_alone(broken):
+    began = time.monotonic()
+    main_text(broken * (3_000_000 // len(broken)))
+    main_text("<div>" * 100_000 + broken * (1_000_000 // len(broken)))
+    assert time.monotonic() - began < 30
 
 
 def test_blocks_have_link_density():
     found = blocks("<div><a href=x>one two</a> three</div><p>four")
-    assert [(t, w, linked) for t, w, linked, *_ in found] == [("one two three", 3, 2), ("four", 1, 0)]
+    assert [(b.text, b.words, b.linked) for b in found] == [("one two three", 3, 2), ("four", 1, 0)]
+    assert [b.linked for b in blocks("<a href=x><div>one two</div><p>three</p></a><p>four <a>five</p><p>six</p>")] == [2, 1, 1, 0]
 
 
 def test_html_query(spark):
@@ -40,6 +149,8 @@ def test_html_query(spark):
     got = {r.page_id: (r.text, r.n_chars) for r in op3_html_extraction(df).collect()}
     assert got == {1: (WANT, len(WANT)), 2: ("", 0)} and extract_text(df).columns[:4] == df.columns
     assert op3_html_extraction(df.limit(0)).count() == 0
+    odd = spark.sql("SELECT named_struct('a b', 1, 'c', array(1)) AS `x y`, 'old' AS _html_text, '<p>one long line of words in a page of its own, as it should be here, said once more for good measure</p>' AS html")
+    assert extract_text(odd).columns == ["x y", "html", "_html_text"] and extract_text(odd).first()["_html_text"].startswith("one long")
 
 
 def corpus(n, seed):
