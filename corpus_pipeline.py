@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import bpe, jaccard, lines, mixing, toxicity
-from docloom.llm.common import shared_dir
+from docloom.sources.store import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
