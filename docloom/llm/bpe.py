@@ -7,7 +7,8 @@ square of the length, use a heap over the same ranks and give the same parts. Wo
 taken from a table of bounded size. The special token's own text becomes its single id, as the library does by default.
 
 Defined results: a null text is an empty one, with no tokens; decoding gives the text back, with U+FFFD for bytes that
-are not UTF-8. Other columns pass through; repeated rows give the same values; an empty table gives none.
+are not UTF-8. Other columns pass through, but for names that start with `_bpe_`, which are the operator's own and replaced;
+repeated rows give the same values; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import tidy
+from docloom.functions.arrow import appended
+from docloom.llm.common import own, tidy
 
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -185,6 +187,7 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     `tokenizer`: path of the JSON file as the driver sees it; its text (1.6 MB, whatever the corpus) is broadcast.
     """
+    docs = own(docs, "_bpe_")
     if tokenizer is None:
         import public_tokenizers
 
@@ -201,8 +204,7 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array([pairs.decode(i) for i in ids], pa.string())], names=[*part.schema.names, "_bpe_ids", "_bpe_text"])
         pairs.table.clear()
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(tidy(run), f"{schema}, _bpe_ids binary, _bpe_text string")
+    return docs.mapInArrow(tidy(run), appended(docs, "_bpe_ids binary, _bpe_text string"))
 
 
 def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -225,8 +227,7 @@ def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         pairs.table.clear()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), appended(docs.select("doc_id"), "n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
 
 
 def op7_bpe(docs: DataFrame) -> DataFrame:

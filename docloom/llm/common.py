@@ -1,13 +1,11 @@
-"""What the operators share: the folder all executors see, stored intermediate tables, and joins that survive hot keys."""
+"""What the operators share: names, numbers drawn from texts, joins that survive hot keys, and memory given back."""
 
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: ASCII white space, as the contracts define it: space and U+0009 to U+000D.
@@ -15,33 +13,14 @@ SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+def own(df: DataFrame, prefix: str) -> DataFrame:
+    """Without columns of the operator's own names, which begin with `prefix`: its results replace them."""
+    return df.drop(*[c for c in df.columns if c.lower().startswith(prefix)])
 
-    Where it is unset, a local session gets a temporary folder (tests); a cluster without one is an error.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """The frame, written as Parquet in the shared folder and read again: it cuts lineage and outlives executors."""
-    path = f"{shared_dir(df.sparkSession)}/docloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def drop_stored(spark: SparkSession, *paths: str) -> None:
-    """Delete tables that stored() wrote and nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+def columns(df: DataFrame) -> list[Column]:
+    """The frame's columns, whatever characters their names have."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
 
 
 def fraction(text: Column, part: int = 0) -> Column:

@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import drop_stored, stored, tidy
+from docloom.llm.common import tidy
+from docloom.sources.store import drop_stored, stored
 
 #: Edges of one node that a task handles together at least; a node with more is split over salts.
 SPLIT = 4096

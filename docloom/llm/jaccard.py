@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import drop_stored, join_by_counted_key, stored, tidy
+from docloom.llm.common import columns, join_by_counted_key, tidy
 from docloom.llm.graph import components
 from docloom.llm.textvec import Texts, hashed, mix, pieces
+from docloom.sources.store import drop_stored, stored
 
 SIZE = 5
 #: The least size of a set that can be linked to an unequal one: 4 shingles to 5. Smaller sets have only their copies.

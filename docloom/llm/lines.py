@@ -9,7 +9,7 @@ Very common lines are the skew here: counting combines before it shuffles, and k
 
 Defined results: a null or empty text is one empty line; a null id neither counts nor loses lines; rows that share an id
 are one document for the count, and each loses the same lines; an empty table gives none; other columns pass through,
-names that start with `_line_` are the operator's own.
+but for names that start with `_line_`, which are the operator's own and replaced.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from docloom.llm.common import SPACES, join_by_counted_key, stored, tidy
+from docloom.functions.arrow import appended
+from docloom.llm.common import SPACES, columns, join_by_counted_key, own, tidy
+from docloom.sources.store import stored
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -66,18 +69,17 @@ def _rebuild(min_chars: int):
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """The documents with shortened `text`, and `_line_n` (lines before) and `_line_dropped` beside the other columns."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keys = docs.where("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("binary")).mapInArrow(tidy(_keys(min_chars)), f"_line_id {kind}, _line_key binary")
+    docs = own(docs, "_line_")
+    kind = StructType([StructField("_line_id", docs.schema["doc_id"].dataType), StructField("_line_key", BinaryType())])
+    keys = docs.where("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("binary")).mapInArrow(tidy(_keys(min_chars)), kind)
     counted = keys.groupBy("_line_key").agg(F.count_distinct("_line_id").alias("_line_docs"), F.max("_line_id").alias("_line_keeper"), F.count("*").alias("_line_rows"))
     counted, _ = stored(counted.where(F.col("_line_docs") >= min_docs))
     hits = join_by_counted_key(keys, counted, "_line_key", "_line_rows").where("_line_id < _line_keeper")
     drops = hits.groupBy(F.col("_line_id").alias("_line_doc")).agg(F.collect_set("_line_key").alias("_line_drop"))
     joined = docs.withColumn("_line_n", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")).withColumn("_line_text", F.col("text").cast("binary")).drop("text")
     joined = joined.join(drops, joined["doc_id"] == drops["_line_doc"], "left").drop("_line_doc")
-    rest = [f for f in joined.schema.fields if f.name not in ("_line_text", "_line_drop")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", _line_text binary, _line_dropped bigint"
-    out = joined.mapInArrow(tidy(_rebuild(min_chars)), schema).withColumn("text", F.decode("_line_text", "UTF-8"))
-    return out.select(*docs.columns, "_line_n", "_line_dropped")
+    out = joined.mapInArrow(tidy(_rebuild(min_chars)), appended(joined.drop("_line_text", "_line_drop"), "_line_text binary, _line_dropped bigint")).withColumn("text", F.decode("_line_text", "UTF-8"))
+    return out.select(*columns(docs), "_line_n", "_line_dropped")
 
 
 def op2_line_dedup(docs: DataFrame) -> DataFrame:

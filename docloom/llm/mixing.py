@@ -12,7 +12,7 @@ words taken therefore stay within a few documents of the target. Same seed, same
 
 Defined results: a null or blank text has size 0; a source without words has target 0 and no copies; null is a source of
 its own, the last in order; rows that are repeated count as often as they stand there; an empty table gives none; other
-columns pass through. Names that start with `_mix_` are the operator's own.
+columns pass through. Columns whose names start with `_mix_` are the operator's own; those of the input are dropped.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import WORD, fraction
+from docloom.llm.common import WORD, columns, fraction, own
 
 
 def word_count(text: Column) -> Column:
@@ -49,6 +49,7 @@ def water_fill(sources: DataFrame, size: str, weight: str, budget: float, max_ep
 
 def plan_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float = 1.5, max_epochs: float = 2.0, seed: str = "mix", stratum: int = 1024) -> DataFrame:
     """The documents with `_mix_size`, `_mix_source_size`, `_mix_target` and `_mix_copies` (how often the mix takes each)."""
+    docs = own(docs, "_mix_")
     sized = docs.withColumn("_mix_size", word_count(F.col("text")))
     per = sized.groupBy("source").agg(F.sum("_mix_size").alias("_mix_source_size"), F.count("*").alias("_mix_n"))
     order = Window.partitionBy(F.lit(0)).orderBy(F.col("source").isNull(), "source")
@@ -70,7 +71,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as the plan takes it, with the columns it came with."""
     planned = plan_mix(docs, **options)
-    return planned.withColumn("_mix_i", F.explode(F.array_repeat(F.lit(True), F.col("_mix_copies")))).select(*docs.columns)
+    return planned.withColumn("_mix_i", F.explode(F.array_repeat(F.lit(True), F.col("_mix_copies")))).select(*columns(own(docs, "_mix_")))
 
 
 def op1_mixing(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import join_by_counted_key, stored
+from docloom.llm.common import join_by_counted_key, tidy
+from docloom.sources.store import drop_stored, stored
 
 DIMS, CERTAIN, LEAF, PART = 16, 0.96, 64, 4096
 #: Vectors that the upper tree is fitted on at most, and its depth at most.

@@ -8,7 +8,8 @@ distance to it.
 
 The sample to learn from is bounded (`most_rows`, `most_bytes`); every text is scored whole. Defined results: a null or
 empty text has no n-grams and gets the score of the bias alone; without labels of both classes the score is 0, or 1 if all
-labels are 1; repeated rows score alike; an empty table gives none; other columns pass through.
+labels are 1; repeated rows score alike; an empty table gives none; other columns
+pass through, but for names that start with `_quality_`, which are the operator's own and replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import tidy
+from docloom.functions.arrow import appended
+from docloom.llm.common import own, tidy
 from docloom.llm.labelled import fold, sample
 from docloom.llm.textvec import Texts, hashed, pieces
 
@@ -145,6 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 4000, most_bytes: i
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with `_quality_score`. The model (2 MB, whatever the corpus) is broadcast."""
+    docs = own(docs, "_quality_")
     shared, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
     at = names.index("text")
 
@@ -153,8 +156,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
             scores = [shared.value.score(t) for _, _, t in pieces(batch.column(at), 1 << 20)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=[*names, "_quality_score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(tidy(run), f"{schema}, _quality_score double")
+    return docs.mapInArrow(tidy(run), appended(docs, "_quality_score double"))
 
 
 def op4_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ from math import ceil, log, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import lower_ascii, stored
+from docloom.llm.common import lower_ascii, own
+from docloom.sources.store import drop_stored, stored
 
 #: The contract's rules: action, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
