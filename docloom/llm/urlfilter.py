@@ -3,16 +3,19 @@
 A list of keys (a rule's host and path as one string) becomes bit arrays. Level 1 encodes the listed keys; level 2 those
 keys of the corpus that are not listed but pass level 1; level 3 the listed ones that pass level 2; and so on until no
 false positive is left. A key of the corpus is then listed exactly if the first level that lacks it is an even one.
-The universe is complete: every key that any url of the corpus can be looked up by (each suffix of its host at a label's
-border, with each prefix of its path that is as long as some rule's path).
+The universe is complete: every key that any url of the corpus can be looked up by (each suffix of its host of at most as
+many labels as some rule's host has, with each prefix of its path that is as long as some rule's path). Longer suffixes
+can't be listed, so a url has a bounded number of keys, however long its host is.
 
 Bits: level 1 has so low an error rate, listed / universe (the universe counted by HyperLogLog), that about as many false
 positives as listed keys are expected; later levels have an error rate of 1 in 64, about nine bits for each key that they hold. What reaches the
-executors is therefore bounded by the rule list times the logarithm of the corpus' size. No join is needed to look up.
+executors is therefore bounded by the rule list times the logarithm of the corpus' size: one binary value for each level,
+sent with the tasks. No join is needed to look up.
 
 Defined results: a null url or one without `://` has an empty host and path and fits no rule; a rule's host fits itself and
 its subdomains, its path any path that it begins; the longest rule that fits wins, a block before an allow of the same
-text; where none fits the cascades themselves say "not listed", which allows. Repeated urls get the same verdict.
+text; where none fits the cascades themselves say "not listed", which allows. Repeated urls get the same verdict; an empty
+table gives none. Columns whose names start with `_url_` are the operator's own; those of the input are dropped.
 """
 
 from __future__ import annotations
@@ -40,10 +43,9 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def url_keys(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """All keys that a rule with such path lengths can have for this url."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def url_keys(host: Column, path: Column, lengths: Sequence[int], most_labels: int) -> Column:
+    """All keys that a rule with such path lengths and at most so many labels in its host can have for this url."""
+    suffixes = F.array_distinct(F.array(*[F.substring_index(host, ".", -k) for k in range(1, most_labels + 1)]))
     starts = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
     return F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p))))
 
@@ -54,7 +56,7 @@ class BloomLevel:
     def __init__(self, n: int, error: float, seed: str):
         self.hashes = max(1, ceil(log2(1 / error)))
         self.bits = 64 * max(1, ceil(n * self.hashes / log(2) / 64))
-        self.seed, self.words = seed, [0] * (self.bits // 64)
+        self.seed, self.bytes = seed, bytearray(self.bits // 8)
 
     def places(self, key: Column) -> list[Column]:
         return [F.pmod(F.xxhash64(F.lit(f"{self.seed}.{i}"), key), F.lit(self.bits)) for i in range(self.hashes)]
@@ -63,13 +65,13 @@ class BloomLevel:
         """Set the bits of the keys: they are combined on the executors, and at most bits / 64 words come to the driver."""
         at = keys.select(F.explode(F.array(*self.places(F.col("key")))).alias("p"))
         for r in at.groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b")).collect():
-            self.words[r["w"]] = r["b"]
+            self.bytes[8 * r["w"] : 8 * r["w"] + 8] = r["b"].to_bytes(8, "little", signed=True)
         return self
 
     def holds(self, key: Column) -> Column:
-        array = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")
-        tests = [F.getbit(F.element_at(array, (F.floor(p / 64) + 1).cast("int")), (p % 64).cast("int")) == 1 for p in self.places(key)]
-        return reduce(lambda a, b: a & b, tests)
+        """All bits set? A byte of the binary value, read as a Latin-1 letter, is that letter's code."""
+        byte = lambda p: F.ascii(F.decode(F.substring(F.lit(bytes(self.bytes)), (F.floor(p / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+        return reduce(lambda a, b: a & b, [F.getbit(byte(p).cast("long"), (p % 8).cast("int")) == 1 for p in self.places(key)])
 
 
 class Cascade:
@@ -101,7 +103,7 @@ def _hit(action: str):
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, default: str = "allow") -> DataFrame:
     """The pages with `_url_host`, `_url_path`, `_url_rule` and `_url_verdict`; other columns pass through."""
-    spark = pages.sparkSession
+    spark, pages = pages.sparkSession, own(pages, "_url_")
     host, path = split_url(F.col("url"))
     urls = pages.withColumn("_url_host", host).withColumn("_url_path", path)
     lists = {action: sorted({h + p for a, h, p in rules if a == action}) for action in ("allow", "block")}
@@ -109,15 +111,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     if not lists:
         return urls.withColumn("_url_rule", F.lit(None).cast("string")).withColumn("_url_verdict", F.lit(default))
     lengths = sorted({len(p) for _, _, p in rules})
-    keys = url_keys(F.col("_url_host"), F.col("_url_path"), lengths)
+    keys = url_keys(F.col("_url_host"), F.col("_url_path"), lengths, max(h.count(".") + 1 for _, h, _ in rules))
     universe = urls.select(F.explode(keys).alias("key"))
     size = max(1, universe.agg(F.approx_count_distinct("key")).first()[0])
     frames = {a: spark.createDataFrame([(k,) for k in ks], "key string") for a, ks in lists.items()}
     first = {a: BloomLevel(len(ks), min(0.5, len(ks) / size), a).fill(frames[a]) for a, ks in lists.items()}
     # The keys that pass a first level are few; each is told apart from the listed ones while the filters are built.
     passed = universe.select("key", *[first[a].holds(F.col("key")).alias(a) for a in lists]).where(" OR ".join(lists)).groupBy("key").agg(*[F.bool_or(a).alias(a) for a in lists])
-    passed, _ = stored(passed)
+    passed, path_of = stored(passed)
     cascades = {a: build_cascade(frames[a], passed.where(a).select("key").join(F.broadcast(frames[a]), "key", "left_anti"), first[a], a) for a in lists}
+    drop_stored(spark, path_of)
     hits = F.flatten(F.array(*[F.transform(F.filter(keys, c.holds), _hit(a)) for a, c in cascades.items()]))
     best = F.array_max(hits)
     return urls.withColumn("_url_best", best).withColumn("_url_rule", F.col("_url_best.rule")).withColumn("_url_verdict", F.coalesce("_url_best.verdict", F.lit(default))).drop("_url_best")

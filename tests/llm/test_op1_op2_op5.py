@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import time
 
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm.lines import OP2_SQL, dedup_lines, op2_line_dedup
 from docloom.llm.mixing import OP1_SQL, mix_sources, op1_mixing, plan_mix
@@ -105,6 +107,18 @@ def test_line_dedup(spark):
     check_sql(op2_line_dedup(df), OP2_SQL, documents=(rows, pa.schema([("doc_id", pa.int64()), ("text", pa.string())])))
 
 
+def test_lines_and_mixes_of_long_texts_and_odd_columns(spark):
+    x = "a line that is long enough"
+    df = spark.sql("SELECT 's' AS source, named_struct('a b', 1) AS `x y`, 'old' AS _line_text, 'old' AS _mix_size, * FROM VALUES (1, 'q'), (2, 'r'), (3, 'r') AS t(doc_id, text)")
+    df = df.withColumn("text", F.concat(F.repeat(F.lit(x + "\n"), 100_000), "text"))
+    got = dedup_lines(df).orderBy("doc_id").collect()
+    assert [(r.text, r._line_n, r._line_dropped) for r in got[:2]] == [("q", 100_001, 100_000), ("r", 100_001, 100_000)]
+    assert got[2].text == x + "\n" + (x + "\n") * 99_999 + "r" and got[0]["x y"]["a b"] == 1 and "_line_text" not in got[0]
+    mixed = mix_sources(df)
+    assert mixed.columns == ["source", "x y", "_line_text", "doc_id", "text"] and mixed.count() >= 3
+    assert {r._mix_size for r in plan_mix(df).collect()} == {600_001}
+
+
 def test_line_dedup_other_rows(spark):
     x = "a line that is long enough"
     df = spark.createDataFrame([(1, x, "k"), (1, x, "k"), (2, x + "\ny", "k"), (None, x, "k"), (3, x, "k")], "doc_id long, text string, key string")
@@ -148,6 +162,24 @@ def test_cascade_is_exact_for_many_rules(spark):
         assert (r._url_rule, r._url_verdict) == (max(fits)[1:] if fits else (None, "allow"))
 
 
+def test_long_hosts_and_clashing_columns(spark):
+    host = "a." * 100_000 + "org"
+    df = spark.createDataFrame([(1, f"http://{host}/x", "old"), (2, "http://" + "b" * 3_000_000 + ".com/fr/", "old"), (3, "http://example.org/" + "es/" * 500_000, "old")], "page_id long, url string, _url_rule string")
+    began = time.monotonic()
+    got = {r.page_id: (r._url_rule, r._url_verdict) for r in filter_urls(df).collect()}
+    assert got == {1: ("org/", "allow"), 2: ("com/fr/", "allow"), 3: ("example.org/es/", "block")} and time.monotonic() - began < 30
+    odd = spark.sql("SELECT 'http://x.org/' AS url, named_struct('a b', 1) AS `x.y`, 1 AS _url_host")
+    assert filter_urls(odd).first()["x.y"]["a b"] == 1
+    empty = spark.createDataFrame([(1, "http://.org/"), (2, "http://org./"), (3, "http://./"), (4, "http://..com/fr/")], "page_id long, url string")
+    assert [r.rule for r in op5_url_filters(empty).orderBy("page_id").collect()] == ["org/", None, None, "com/fr/"]
+
+
+def test_plan_has_no_join_and_no_python(spark):
+    df = spark.createDataFrame([(1, "http://x.org/")], "page_id long, url string")
+    plan = op5_url_filters(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
 @pytest.mark.parametrize("rules", [[], [("block", "org", "/")]])
 def test_short_lists(spark, rules):
     df = spark.createDataFrame([("http://x.org/",), ("http://x.net/",)], "url string")
