@@ -6,13 +6,15 @@ DIMS degrees of freedom. A search takes projected neighbours in growing distance
 vectors; it may stop once the next projected distance squared exceeds d_k squared times the chi-square quantile at CERTAIN,
 d_k being the distance of the worst neighbour kept: one that is nearer still would be missed with probability 1 - CERTAIN.
 
-Distributed: the upper levels of a kd-tree (fitted on a bounded sample) cut space into cells, every row lies in a cell, and
-large cells are split over parts. A query first searches its own cell, which bounds d_k, then all cells whose boxes the
-stopping test can't exclude; inside a part a kd-tree with small leaves is searched in order of the leaves' boxes. Equal
-vectors are stored once, with the few smallest ids that can ever be asked for, so groups of copies cost nothing.
+Distributed: the upper levels of a kd-tree (fitted on a bounded sample) cut space into cells, as many as the rows ask for;
+every row lies in a cell, and large cells are split over parts. A query first searches its own cell, which bounds d_k, then
+all cells whose boxes the stopping test can't exclude; inside a part a kd-tree with small leaves is searched in order of the
+leaves' boxes. The queries of a part are cut into chunks, each with the part's members, so that no task handles more than
+PART members and about ASKED queries together. Equal vectors are stored once, with the few smallest ids that can ever be
+asked for, so groups of copies cost nothing.
 
 Defined results: vectors that are null, empty or zero or hold nulls or non-finite values take no part, nor do rows without
-an id; only vectors of one length are compared; ties go to the smaller id; a query that has fewer than k candidates gets
+an id; ids are integers; only vectors of one length are compared; ties go to the smaller id; other columns are not looked at; a query that has fewer than k candidates gets
 all of them; rows that share id and vector count once as candidates, and each asks for itself.
 """
 
@@ -22,16 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docloom.llm.common import join_by_counted_key, tidy
 from docloom.sources.store import drop_stored, stored
 
-DIMS, CERTAIN, LEAF, PART = 16, 0.96, 64, 4096
-#: Vectors that the upper tree is fitted on at most, and its depth at most.
-SAMPLE, DEPTH = 8192, 9
+DIMS, CERTAIN, LEAF, PART, ASKED = 16, 0.96, 64, 4096, 4096
+#: The upper tree's depth at most, the vectors of the sample for each of its cells, and the sample's numbers at most (32 MB).
+DEPTH, EACH, SAMPLE = 13, 8, 1 << 22
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -111,13 +113,22 @@ class Upper:
         return out
 
 
+def depth_for(rows: int) -> int:
+    """Levels of the upper tree, so that a cell has about PART rows."""
+    return min(DEPTH, max(0, int(np.ceil(np.log2(max(1, rows) / PART)))))
+
+
+def sample_size(rows: int, length: int) -> int:
+    """Vectors that the upper tree is fitted on: EACH a cell, but no more than SAMPLE numbers in all."""
+    return max(1, min(EACH << depth_for(rows), SAMPLE // length))
+
+
 def fit(vectors: np.ndarray, rows: int, seed: int = 11) -> Upper:
     """A projection for vectors of this length and cells for `rows` of them, from a sample."""
     dims = min(DIMS, vectors.shape[1])
     projection = np.random.default_rng([seed, vectors.shape[1]]).normal(size=(dims, vectors.shape[1]))
     upper = Upper(projection, [])
-    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, rows) / PART)))))
-    upper.nodes, _ = split(upper.project(vectors), 8, depth)
+    upper.nodes, _ = split(upper.project(vectors), EACH // 2, depth_for(rows))
     return upper
 
 
@@ -194,18 +205,19 @@ def _place(shared):
 
 
 def _visit(shared, quantiles, keep):
-    """Rows sorted by cell, part and role: members (ids, vec), then queries (qid, vec, floor)."""
+    """Rows sorted by cell, part, chunk and role: members (ids, vec), then queries (qid, vec, floor)."""
 
     def run(batches):
         key, ids, vectors, part = None, [], [], None
         for batch in batches:
             columns = {n: batch.column(n) for n in ("role", "qid", "floor", "ids")}
             cells = batch.column("cell").to_pylist()
+            chunks = batch.column("chunk").to_numpy()
             parts, roles, qids, floors = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("part", "role", "qid", "floor"))
             found = []
             for i in range(batch.num_rows):
-                if key != (cells[i], parts[i]):
-                    key, ids, vectors, part = (cells[i], parts[i]), [], [], None
+                if key != (cells[i], parts[i], chunks[i]):
+                    key, ids, vectors, part = (cells[i], parts[i], chunks[i]), [], [], None
                 v = batch.column("vec")[i].values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if roles[i] == 0:
                     ids.append(columns["ids"][i].as_py())
@@ -250,7 +262,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 
     # Each vector once, with the ids that can be asked for; each query vector once, with its number of askers.
     small = rows.withColumn("place", F.dense_rank().over(Window.partitionBy("vec").orderBy("vec_id"))).where(F.col("place") <= keep)
-    distinct, _ = stored(small.groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")))
+    distinct, path = stored(small.groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")))
     asked = rows.where(F.col("vec_id") % every == 0)
     queries, _ = stored(asked.groupBy("vec").agg(F.min("vec_id").alias("qid"), F.count("*").alias("asks")))
 
@@ -258,11 +270,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     lengths = {r["n"]: r["c"] for r in distinct.groupBy(F.size("vec").alias("n")).agg(F.count("*").alias("c")).collect()}
     uppers = {}
     for n, c in sorted(lengths.items()):
-        some = distinct.where(F.size("vec") == n).select("vec").orderBy(F.xxhash64(F.element_at("ids", 1)), "ids").limit(SAMPLE).collect()
+        some = distinct.where(F.size("vec") == n).select("vec").orderBy(F.xxhash64(F.element_at("ids", 1)), "ids").limit(sample_size(c, n)).collect()
         uppers[n] = fit(np.array([r["vec"] for r in some], np.float64).reshape(len(some), n), c)
     quantiles = {d: chi_square_quantile(CERTAIN, d) for d in {len(u.projection) for u in uppers.values()}}
     first = spark.sparkContext.broadcast(uppers)
-    placed, _ = stored(distinct.select("ids", "vec").mapInArrow(_place(first), "ids array<bigint>, vec array<double>, cell string, y array<double>"))
+    placed, path2 = stored(distinct.select("ids", "vec").mapInArrow(_place(first), "ids array<bigint>, vec array<double>, cell string, y array<double>"))
     corner = lambda f, i: f(F.get("y", F.lit(i)))
     boxes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.array(*[corner(F.min, i) for i in range(DIMS)]).alias("low"), F.array(*[corner(F.max, i) for i in range(DIMS)]).alias("high")).collect()
     for n, u in uppers.items():
@@ -274,13 +286,22 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
                 u.low[c], u.high[c], u.parts[c] = b["low"][:dims], b["high"][:dims], -(-b["n"] // PART)
     shared = spark.sparkContext.broadcast(uppers)
     parts = spark.createDataFrame([(b["cell"], -(-b["n"] // PART)) for b in boxes], "cell string, parts int")  # one row a cell
-    members = placed.join(F.broadcast(parts), "cell").select("cell", F.pmod(F.xxhash64(F.element_at("ids", 1)), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("role"), F.lit(None).cast("long").alias("qid"), F.lit(-2.0).alias("floor"), "ids", "vec")
+    members, _ = stored(placed.join(F.broadcast(parts), "cell").select("cell", F.pmod(F.xxhash64(F.element_at("ids", 1)), F.col("parts")).cast("int").alias("part"), "ids", "vec"))
+    drop_stored(spark, path, path2)
+    kinds = {"role": "int", "qid": "long", "floor": "double", "ids": "array<bigint>"}
+
+    def rows_of(df: DataFrame, **given: Column) -> DataFrame:
+        values = [given.get(n, F.lit(None)).cast(kind).alias(n) if n in given or n not in df.columns else F.col(n) for n, kind in kinds.items()]
+        return df.select("cell", "part", "chunk", *values, "vec")
 
     def visit(asks: DataFrame) -> DataFrame:
-        spread = asks.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        spread = spread.select("cell", "part", F.lit(1).alias("role"), "qid", "floor", F.lit(None).cast("array<bigint>").alias("ids"), "vec")
-        both = members.unionByName(spread).repartition("cell", "part").sortWithinPartitions("cell", "part", "role", "qid")
-        return both.mapInArrow(_visit(shared, quantiles, keep), "qid bigint, vec_id bigint, score double")
+        """`asks` (cell, qid, vec, floor) against the members of the cells asked. What is broadcast is a row a cell."""
+        cuts = asks.groupBy("cell").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("chunks"))
+        held = rows_of(members.join(F.broadcast(cuts), "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))), role=F.lit(0))
+        spread = asks.join(F.broadcast(cuts), "cell").withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("chunks")).cast("int"))
+        spread = rows_of(spread.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), role=F.lit(1))
+        both = held.unionByName(spread).repartition("cell", "part", "chunk").sortWithinPartitions("cell", "part", "chunk", "role", "qid")
+        return both.mapInArrow(tidy(_visit(shared, quantiles, keep)), "qid bigint, vec_id bigint, score double")
 
     home, _ = stored(queries.mapInArrow(_place(shared), "vec array<double>, qid bigint, asks bigint, cell string, y array<double>").drop("y").withColumn("floor", F.lit(-2.0)))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
@@ -288,7 +309,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     floors = near.groupBy("qid").agg(F.when(F.count("*") >= keep, F.min("score")).otherwise(-2.0).alias("floor"))
     onward = home.drop("floor").join(floors, "qid").select("vec", "qid", "cell", "floor")
     onward = onward.mapInArrow(_route(shared, quantiles), "vec array<double>, qid bigint, cell string, floor double, to array<string>")
-    far = visit(onward.select("qid", "vec", "floor", F.explode("to").alias("cell")))
+    onward, _ = stored(onward.select("qid", "vec", "floor", F.explode("to").alias("cell")))
+    far = visit(onward)
     top = near.unionByName(far).withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
     lists = top.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
     lists, _ = stored(queries.join(lists, "qid").select("vec", "asks", "found"))
