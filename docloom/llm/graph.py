@@ -15,48 +15,41 @@ SPLIT = 4096
 MOST_HOT = 50_000
 
 
-def _groups(batches):
-    """The partition's edges, sorted by node, salt and other end, without repeats; and where each group begins."""
-    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-    if not parts:
-        return None
-    u, v, salt = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((v, salt, u))
-    u, v, salt = u[order], v[order], salt[order]
-    if not len(u):
-        return None
-    new = np.concatenate([[True], (u[1:] != u[:-1]) | (salt[1:] != salt[:-1])])
-    fresh = new | np.concatenate([[True], v[1:] != v[:-1]])
-    u, v, new = u[fresh], v[fresh], new[fresh]
-    first = np.flatnonzero(new)
-    return u, v, first, np.diff(np.append(first, len(u)))
+def _edges(u, v, moved):
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(moved)], names=["u", "v", "moved"])
 
 
-def _edges(u, v, moved):
-    for i in range(0, len(u), 1 << 18):
-        cut = slice(i, i + (1 << 18))
-        yield pa.RecordBatch.from_arrays([pa.array(u[cut]), pa.array(v[cut]), pa.array(moved[cut])], names=["u", "v", "moved"])
+def _groups(batches):
+    """Edges sorted by node, salt and other end, batch by batch without repeats: u, v, and the first v of each one's group.
+
+    Only the last edge and the first of its group are carried from one batch to the next, whatever the partition holds.
+    """
+    last, least = None, 0
+    for batch in batches:
+        u, v, salt = (batch.column(n).to_numpy() for n in ("u", "v", "salt"))
+        if not len(u):
+            continue
+        new = np.concatenate([[last is None or (u[0], salt[0]) != last[:2]], (u[1:] != u[:-1]) | (salt[1:] != salt[:-1])])
+        fresh = np.concatenate([[last is None or (u[0], salt[0], v[0]) != last], new[1:] | (v[1:] != v[:-1])])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+        start = np.where(first < 0, least, v[first])
+        last, least = (u[-1], salt[-1], v[-1]), start[-1]
+        yield u[fresh], v[fresh], start[fresh], new[fresh]
 
 
 def _large_star(batches):
     """Each node gives its larger neighbours the smallest node near it."""
-    found = _groups(batches)
-    if found:
-        u, v, first, size = found
-        least = np.repeat(np.minimum(v[first], u[first]), size)
+    for u, v, start, _ in _groups(batches):
         keep = v > u
-        yield from _edges(v[keep], least[keep], least[keep] < u[keep])
+        least = np.minimum(start, u)[keep]
+        yield _edges(v[keep], least, least < u[keep])
 
 
 def _small_star(batches):
     """Each node and its smaller neighbours get the smallest of these."""
-    found = _groups(batches)
-    if found:
-        u, v, first, size = found
-        least = np.repeat(v[first], size)
-        rest = v != least
-        several = size > 1
-        yield from _edges(np.concatenate([v[rest], u[first]]), np.concatenate([least[rest], v[first]]), np.concatenate([np.ones(rest.sum(), bool), several]))
+    for u, v, start, new in _groups(batches):
+        rest = ~new
+        yield _edges(np.concatenate([v[rest], u[new]]), np.concatenate([start[rest], v[new]]), np.concatenate([np.ones(rest.sum(), bool), np.zeros(new.sum(), bool)]))
 
 
 def _dealt(edges: DataFrame, f) -> DataFrame:
@@ -65,7 +58,7 @@ def _dealt(edges: DataFrame, f) -> DataFrame:
     most = max(SPLIT, -(-edges.count() // MOST_HOT))
     hot = edges.groupBy(F.col("u").alias("x")).agg(F.ceil(F.count("*") / most).alias("parts")).where("parts > 1")
     salted = edges.join(F.broadcast(hot), F.col("u") == F.col("x"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0)).cast("long").alias("salt"))
-    return salted.repartition("u", "salt").mapInArrow(tidy(f), "u bigint, v bigint, moved boolean")
+    return salted.repartition("u", "salt").sortWithinPartitions("u", "salt", "v").mapInArrow(tidy(f), "u bigint, v bigint, moved boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@
 5. Components of all links, given back to all documents of the class.
 
 No link is lost: two linked classes share a prefix token, so they are either in one group or meet in step 4. Nothing grows
-with the square of a group of copies. Hot tokens are split over salts, hot groups over parts of at most PART rows.
+with the square of a group of copies. Hot tokens are split over salts, hot groups over parts of at most PART rows; workers
+read sorted partitions as streams, so that their memory does not grow with a partition.
 
 Defined results: words are cut at ASCII white space after lower-casing A-Z; a text of fewer than five words is one
 shingle; without words (null, empty, blank) the set is empty and the document its own component; a null id gets a null
@@ -27,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from docloom.llm.common import columns, join_by_counted_key, tidy
+from docloom.llm.common import join_by_counted_key, tidy
 from docloom.llm.graph import components
 from docloom.llm.textvec import Texts, hashed, mix, pieces
 from docloom.sources.store import drop_stored, stored
@@ -40,6 +42,8 @@ LEAST = 4
 PART = 128
 #: Postings of one token that a task handles together.
 SALT = 4096
+#: A text that at least so many rows of a verification ask for (and a 64th of them) is sent to SPREAD places.
+BUSY, SPREAD = 100_000, 64
 #: At most so many frequent tokens are told to the executors: 16 bytes each.
 FREQUENT = 200_000
 _STEPS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
@@ -148,20 +152,35 @@ def _prefixes(frequent):
 
 
 def _share(batches):
-    """Postings of the tokens in this partition that several classes have, each with the token's smallest class."""
-    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-    if not parts:
-        return
-    token, salts, cls, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((cls, token))
-    token, salts, cls, n = token[order], salts[order], cls[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    size = np.diff(np.append(first, len(token)))
-    pivot = np.repeat(cls[first], size)
-    keep = np.flatnonzero((np.repeat(cls[first + size - 1], size) != pivot) | (salts > 1))
-    for i in range(0, len(keep), 1 << 17):
-        k = keep[i : i + (1 << 17)]
-        yield pa.RecordBatch.from_arrays([pa.array(token[k]), pa.array(cls[k]), pa.array(n[k]), pa.array(pivot[k]), pa.array(salts[k] > 1)], names=["token", "cls", "n", "pivot", "salted"])
+    """Rows sorted by token and class: postings of the tokens that several classes have, each with the token's smallest class.
+
+    Of one batch only the last token's first posting is carried on, until another class shows that it is shared.
+    """
+    held, told = None, False  # first posting of the token at hand, and whether it was given out
+    for batch in batches:
+        token, salts, cls, n = (c.to_numpy() for c in batch.columns)
+        if not len(token):
+            continue
+        joins = held is not None and token[0] == held[0]
+        first = np.concatenate([[not joins], token[1:] != token[:-1]])
+        at = np.maximum.accumulate(np.where(first, np.arange(len(token)), -1))
+        pivots = np.where(at < 0, held[2] if joins else 0, cls[at])
+        other = cls != pivots
+        # A first posting goes out with the second class of its token, or at once if the token is salted.
+        group = np.cumsum(first)
+        shared = np.bincount(group, other) > 0
+        keep = other | (salts > 1) | (first & shared[group])
+        if joins and not told and shared[0]:
+            yield _postings(*(np.array([x]) for x in held), np.array([held[2]]))
+            told = True
+        if first.any():
+            i = int(np.flatnonzero(first)[-1])
+            held, told = (token[i], salts[i], cls[i], n[i]), bool(keep[i])
+        yield _postings(token[keep], salts[keep], cls[keep], n[keep], pivots[keep])
+
+
+def _postings(token, salts, cls, n, pivot):
+    return pa.RecordBatch.from_arrays([pa.array(token), pa.array(cls), pa.array(n), pa.array(pivot), pa.array(salts > 1)], names=["token", "cls", "n", "pivot", "salted"])
 
 
 def _open_groups(batches):
@@ -223,13 +242,14 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     rows = take(m, 0).unionByName(take(q, 1))
     rows, path2 = stored(rows)
     uses = rows.groupBy("id").agg(F.count("*").alias("uses"))
-    hot, path3 = stored(uses.where(F.col("uses") >= max(100_000, -(-rows.count() // 64))).select("id"))
+    hot, path3 = stored(uses.where(F.col("uses") >= max(BUSY, -(-rows.count() // 64))).select("id"))
     texts = _only(texts, rows)
     if hot.isEmpty():
         rows = rows.join(texts, "id")
-    else:  # at most 64 texts
-        few = texts.join(F.broadcast(hot), "id")
-        rows = rows.join(F.broadcast(few), "id").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(texts, "id"))
+    else:  # at most 64 ids; each of their texts goes to SPREAD places, so that no task gets all rows of one
+        few = texts.join(F.broadcast(hot), "id").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        busy = rows.join(F.broadcast(hot), "id").withColumn("place", F.pmod(F.xxhash64("g", "s"), F.lit(SPREAD)).cast("int"))
+        rows = busy.join(few, ["id", "place"]).drop("place").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(texts, "id"))
     found = rows.select("g", "s", "role", "id", "text").repartition("g", "s").sortWithinPartitions("g", "s", "role", "id").mapInArrow(tidy(_open_groups), "u bigint, v bigint")
     links, _ = stored(found)
     drop_stored(texts.sparkSession, path, path2, path3)
@@ -249,9 +269,26 @@ def _least_shared(n, least, most):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(row id, n_shingles, component) of each document row, from columns doc_id (an integer) and text."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """(id, n_shingles, component) of each document row, from columns doc_id and text.
+
+    Ids that are no integers are numbered in their order first (a sort, stored), and given back at the end.
+    """
+    kind = docs.schema["doc_id"].dataType
+    if isinstance(kind, IntegralType):
+        return _near_duplicates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy("doc_id").select("doc_id", F.monotonically_increasing_id().alias("n"))
+    ids, _ = stored(ids)
+    found, _ = stored(_near_duplicates(docs.select("doc_id", "text").join(ids, "doc_id", "left").select(F.col("n").alias("doc_id"), "text")))
+    sizes = found.where("id IS NOT NULL").groupBy("component").agg(F.count("*").alias("rows"))
+    names, _ = stored(sizes.join(ids, F.col("component") == F.col("n")).select("component", F.col("doc_id").alias("first"), "rows"))
+    real = join_by_counted_key(found.where("id IS NOT NULL"), names, "component", "rows").join(ids, F.col("id") == F.col("n"))
+    none = F.lit(None).cast(kind)
+    rest = found.where("id IS NULL").select(none.alias("id"), "n_shingles", none.alias("component"))
+    return real.select(F.col("doc_id").alias("id"), "n_shingles", F.col("first").alias("component")).unionByName(rest)
+
+
+def _near_duplicates(texts: DataFrame) -> DataFrame:
+    spark = texts.sparkSession
     described, _ = stored(texts.mapInArrow(tidy(_describe), "id bigint, n bigint, d1 bigint, d2 bigint, token bigint"))
     rows = described.where("d1 IS NOT NULL")
     classes = rows.where("id IS NOT NULL AND n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"))
@@ -272,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", F.arrays_zip("tokens", "salts").alias("z"))
     postings = prefix.select("cls", "n", F.explode("z").alias("z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n")
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("cls"), F.col("salts").cast("long"))).otherwise(0)
-    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n")
+    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n").sortWithinPartitions("token", "cls")
     postings, _ = stored(postings.mapInArrow(tidy(_share), "token bigint, cls bigint, n bigint, pivot bigint, salted boolean"))
 
     # Step 3: each class against the pivot that it shares most tokens with, if it shares an eighth of its prefix, and the

@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from docloom.llm import jaccard
+from docloom.llm import graph, jaccard, neighbours
 from docloom.llm.bpe import BytePairs, encode_texts, op7_bpe
 from docloom.llm.graph import components
 from docloom.llm.neighbours import chi_square_quantile, nearest
@@ -46,6 +47,43 @@ def test_recall_and_scores(spark):
     assert [i for i, _ in hot] == [i for i, _ in want[10_000]] and hot[0][0] == rows[0][0]
 
 
+def test_many_cells_and_chunks(spark, monkeypatch):
+    for name, value in (("PART", 128), ("ASKED", 16)):
+        monkeypatch.setattr(neighbours, name, value)
+    monkeypatch.setattr(neighbours, "_visit", lambda *a, f=neighbours._visit: _counted(f(*a)))
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 24))
+    rows = [(int(i), (centres[i % 40] + 0.5 * rng.normal(size=24)).tolist()) for i in range(4000)] + [(5000 + i, centres[0].tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert neighbours.depth_for(4001) == 5
+    got, want = found(nearest(df, every=10)), brute(rows, every=10)
+    assert got.keys() == want.keys()
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def _counted(run):
+    """The same function, which fails where one key holds too many members or queries."""
+
+    def checked(batches):
+        def watched():
+            held = {}
+            for batch in batches:
+                for key in zip(*(batch.column(n).to_pylist() for n in ("cell", "part", "chunk", "role")), strict=True):
+                    held[key] = held.get(key, 0) + 1
+                yield batch
+            assert all(n <= (300 if key[-1] == 0 else 60) for key, n in held.items()), max(held.values())
+
+        yield from run(watched())
+
+    return checked
+
+
+def test_the_upper_tree_grows_with_the_rows():
+    assert [neighbours.depth_for(n) for n in (1, 4096, 4097, 10**6, 10**9, 10**12)] == [0, 0, 1, 8, 13, 13]
+    assert neighbours.sample_size(10**9, 64) == 65536 and neighbours.sample_size(10**9, 4096) == 1024 and neighbours.sample_size(5, 3) == 8
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (50, [0.0, 0.0]), (100, None), (150, [nan, 1.0]), (200, [inf, 1.0]), (250, [None, 1.0]), (300, []), (350, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (400, [2.0, 0.0])]
@@ -170,6 +208,51 @@ def test_salted_tokens_lose_no_link(spark, monkeypatch):
     assert {r.component_id for r in jaccard.op9_jaccard_join(df).collect()} == {0}
 
 
+def test_ids_of_any_type(spark):
+    rows = family(3, 60)
+    want = brute_components([(f"d{i:05d}", t) for i, t in rows])
+    df = spark.createDataFrame([(f"d{i:05d}", t) for i, t in rows] + [(None, "a b c d e f")], "doc_id string, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()}
+    assert got.pop(None) == (2, None) and got == want
+    kept = {r.doc_id for r in jaccard.keep_one(df).collect()}
+    assert kept == {c for _, c in want.values()} | {None}
+
+
+def test_busy_texts_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BUSY", 2)
+    monkeypatch.setattr(jaccard, "PART", 2)
+    rows = family(4, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()} == brute_components(rows)
+
+
+def _batches(columns, names, size):
+    return [pa.RecordBatch.from_arrays([pa.array(c[i : i + size]) for c in columns], names=names) for i in range(0, len(columns[0]), size)]
+
+
+def _rows(batches):
+    return sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_streams_do_not_depend_on_batches(size):
+    rnd = random.Random(size)
+    for _ in range(30):
+        rows = sorted((t, 1 + (t % 5 == 0), rnd.randrange(8), 9) for t in (rnd.randrange(15) for _ in range(rnd.randrange(1, 40))))
+        classes = {t: sorted({r[2] for r in rows if r[0] == t}) for t, *_ in rows}
+        want = {(t, c, n, classes[t][0], s > 1) for t, s, c, n in rows if len(classes[t]) > 1 or s > 1}
+        columns = [np.array([r[k] for r in rows], kind) for k, kind in enumerate((np.int64, np.int32, np.int64, np.int64))]
+        assert set(_rows(jaccard._share(_batches(columns, ["token", "salts", "cls", "n"], size)))) == want
+        edges = sorted({(rnd.randrange(10), 0, rnd.randrange(10)) for _ in range(rnd.randrange(1, 40))})
+        edges = [e for e in edges for _ in range(1 + (e[0] == 3))]
+        columns = [np.array([e[k] for e in edges], np.int64) for k in (0, 2, 1)]
+        near = {u: sorted({v for x, _, v in edges if x == u}) for u in {e[0] for e in edges}}
+        large = sorted((v, min(u, near[u][0]), min(u, near[u][0]) < u) for u in near for v in near[u] if v > u)
+        assert _rows(graph._large_star(_batches(columns, ["u", "v", "salt"], size))) == large
+        small = sorted([(v, near[u][0], True) for u in near for v in near[u][1:]] + [(u, near[u][0], False) for u in near])
+        assert _rows(graph._small_star(_batches(columns, ["u", "v", "salt"], size))) == small
+
+
 def test_jaccard_other_rows(spark):
     df = spark.createDataFrame([(3, "a b c d e f", 1), (3, "a b c d e f", 1), (None, "a b c d e f", 2), (7, "A b c d e f", 3)], "doc_id long, text string, id int")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()), key=repr)
