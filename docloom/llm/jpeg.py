@@ -148,13 +148,18 @@ def _amplitude(v: int) -> tuple[int, int]:
     return n, v if v > 0 else v + (1 << n) - 1
 
 
-def _symbols_dc(values: np.ndarray, of: np.ndarray) -> list:
-    last, out = {}, []
-    for v, k in zip(values.tolist(), of.tolist(), strict=True):
-        n, bits = _amplitude(v - last.get(k, 0))
-        last[k] = v
-        out.append((n, bits, n, ()))
-    return out
+def _dc_bits(values: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """First scan of the DC: each component's steps as sizes and amplitudes, all at once; the bits and the code table."""
+    step = np.empty(len(values), np.int64)
+    for k in np.unique(of):
+        step[of == k] = np.diff(values[of == k], prepend=0)
+    size = np.frexp(np.abs(step))[1].astype(np.int64)
+    code, n, table = _codes(np.unique(size).tolist())
+    most = int(size.max(initial=0))
+    names = np.array([code.get(k, 0) for k in range(most + 1)])[size]
+    extra = np.where(step > 0, step, step + (1 << size) - 1) << (most - size)
+    bits = np.concatenate([names[:, None] >> np.arange(n - 1, -1, -1) & 1, extra[:, None] >> np.arange(most - 1, -1, -1) & 1], 1).astype(np.uint8)
+    return bits[np.arange(n + most) < (n + size)[:, None]], table
 
 
 def _end_run(out: list, run: int, pending: list) -> None:
@@ -265,7 +270,9 @@ def write_scan(image: Image, scan: Scan) -> bytes:
             bits.matrix(np.zeros((len(dc), n), np.uint8))
             symbols = []
         else:
-            symbols = _symbols_dc(dc, of)
+            found, table = _dc_bits(dc, of)
+            bits.matrix(found)
+            symbols = []
     else:
         band = _rows(coefs[scan.parts[0]], at)[:, scan.ss : scan.se + 1]
         size = np.abs(band) >> scan.al
@@ -312,7 +319,7 @@ def encode(image: Image, scans: list[Scan]) -> bytes:
 
 
 class Codes:
-    """A Huffman table: symbol and length for each 16 bits that may come."""
+    """A Huffman table: symbol and length for each run of as many bits as its longest code has."""
 
     def __init__(self, counts: bytes, symbols: bytes):
         code, k, entries = 0, 0, []
@@ -322,15 +329,16 @@ class Codes:
                 code, k = code + 1, k + 1
             code <<= 1
         self.entries = entries
+        self.width = max((n for _, n, _ in entries), default=1)
         self._table: list[tuple[int, int] | None] | None = None
 
     @property
     def table(self) -> list:
         if self._table is None:
-            self._table = [None] * 65536
+            self._table = [None] * (1 << self.width)
             for code, n, symbol in self.entries:
-                first = code << (16 - n)
-                self._table[first : first + (1 << (16 - n))] = [(symbol, n)] * (1 << (16 - n))
+                first = code << (self.width - n)
+                self._table[first : first + (1 << (self.width - n))] = [(symbol, n)] * (1 << (self.width - n))
         return self._table
 
     def first(self, data: np.ndarray) -> tuple[int, int, int] | None:
@@ -339,6 +347,11 @@ class Codes:
         return next(((c, n, s) for c, n, s in self.entries if head >> (16 - n) == c), None)
 
 
+@lru_cache(256)
+def _table_of(counts: bytes, symbols: bytes) -> Codes:
+    return Codes(counts, symbols)
+
+
 class Reader:
     """Bits of one interval, one after the other; beyond the end come ones."""
 
@@ -355,7 +368,7 @@ class Reader:
 
     def symbol(self, codes: Codes) -> int:
         i = self.at >> 3
-        found = codes.table[int.from_bytes(self.data[i : i + 3], "big") >> (8 - (self.at & 7)) & 0xFFFF]
+        found = codes.table[int.from_bytes(self.data[i : i + 3], "big") >> (24 - codes.width - (self.at & 7)) & (1 << codes.width) - 1]
         if found is None:
             raise ValueError("not a code of the table")
         self.at += found[1]
@@ -526,7 +539,7 @@ def decode(data: bytes) -> Image:
         elif marker == 0xC4:
             while body:
                 n = sum(body[1:17])
-                tables[body[0] >> 4, body[0] & 15] = Codes(body[1:17], body[17 : 17 + n])
+                tables[body[0] >> 4, body[0] & 15] = _table_of(body[1:17], body[17 : 17 + n])
                 body = body[17 + n :]
         elif marker == 0xDD:
             interval = struct.unpack(">H", body)[0]

@@ -1,12 +1,14 @@
 """Media columns: payloads kept as progressive JPEG, and read back as coefficients and RGB tensors.
 
 A payload (a text's UTF-8 bytes with zeros up to a positive multiple of 64) is stored in the coefficients, JPEG's own
-lossless unit: each AC coefficient of the luma is 256 + one byte, under a quantiser of ones. The scans are those of any
-progressive file: DC of all components, two bands of the upper eight bits (spectral selection), and a last scan of the
-lowest bit (successive approximation). Chroma is subsampled 4:2:0 and neutral. Reading accumulates the scans into the
-coefficient arrays again, from which the payload, and by inverse transform and upsampling the RGB tensor, come.
-
-Defined results: a null or empty text is one block of 64 zeros; equal texts give equal values; an empty table gives none.
+lossless unit, 64 bytes a block: the first as DC (byte - 128), the others as AC (byte + 256), under a quantiser of ones.
+Chroma is subsampled 4:2:0; the blocks of luma come first, then those of both chromas, which hold payload as well. The scans
+are those of any progressive file: DC of all components, bands of the upper eight bits (spectral selection), and last the
+lowest bit of each component (successive approximation). Reading accumulates the scans into the coefficient arrays again,
+from which the payload, and by inverse transform and upsampling of chroma the RGB tensor, come.
+
+Defined results: a null or empty text is one block of 64 zeros; equal texts give equal values; an empty table gives none; a
+tensor table passes other columns through, but for names that start with `_rgb`, which are the operator's own and replaced.
 """
 
 from __future__ import annotations
@@ -18,10 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docloom.functions.arrow import appended
+from docloom.llm.common import own
 from docloom.llm.jpeg import Component, Image, Scan, decode, encode
 
 #: Spectral bands of the upper bits, then the lowest bit of all.
-SCANS = [Scan((0, 1, 2), 0, 0, 0, 0), Scan((0,), 1, 5, 0, 1), Scan((0,), 6, 63, 0, 1), Scan((0,), 1, 63, 1, 0)]
+SCANS = [Scan((0, 1, 2), 0, 0, 0, 0), Scan((0,), 1, 5, 0, 1), Scan((0,), 6, 63, 0, 1), *[Scan((k,), 1, 63, 0, 1) for k in (1, 2)], *[Scan((k,), 1, 63, 1, 0) for k in (0, 1, 2)]]
+#: Blocks of an MCU: four of luma and one of each chroma.
+MCU = 6
+_ONES = np.ones(64, np.int32)
 
 
 def padded(data: bytes) -> bytes:
@@ -30,25 +37,30 @@ def padded(data: bytes) -> bytes:
 
 def store(payload: bytes) -> bytes:
     """The payload as a progressive JPEG file; its comment-free header tells the grid, the reader the length."""
-    n = -(-len(payload) // 63)
-    wide = 8
-    while n > wide * 8000:
+    n = -(-len(payload) // (64 * MCU))
+    wide = min(4, n)
+    while n > wide * 4000:
         wide *= 2
     rows = -(-n // wide)
-    rows += rows % 2
-    coefs = np.zeros((rows * wide, 64), np.int32)
-    body = np.zeros(rows * wide * 63, np.int32)
+    body = np.zeros(rows * wide * MCU * 64, np.int32)
     body[: len(payload)] = np.frombuffer(payload, np.uint8)
-    coefs[:, 1:] = body.reshape(-1, 63) + 256
-    ones = np.ones(64, np.int32)
-    image = Image(rows * 8, wide * 8, [Component(2, 2, ones, coefs=coefs.reshape(rows, wide, 64)), Component(1, 1, ones), Component(1, 1, ones)])
-    return encode(image, SCANS)
+    body = body.reshape(-1, 64)
+    body[:, 0] -= 128
+    body[:, 1:] += 256
+    parts, at = [], 0
+    for h in (2, 1, 1):
+        grid = (rows * h, wide * h, 64)
+        parts.append(Component(h, h, _ONES, coefs=body[at : at + grid[0] * grid[1]].reshape(grid)))
+        at += grid[0] * grid[1]
+    return encode(Image(rows * 16, wide * 16, parts), SCANS)
 
 
 def read_back(image: Image, length: int) -> bytes:
     """The payload of an image that store() made."""
-    flat = image.parts[0].coefs.reshape(-1, 64)[:, 1:].ravel()[:length]
-    return (flat - 256).astype(np.uint8).tobytes()
+    body = np.concatenate([c.coefs.reshape(-1, 64) for c in image.parts])
+    body[:, 0] += 128
+    body[:, 1:] -= 256
+    return body.astype(np.uint8).tobytes()[:length]
 
 
 def tensor_feature(rgb: np.ndarray) -> str:
@@ -62,6 +74,7 @@ def jpeg_tensors(media: DataFrame, column: str = "jpeg") -> DataFrame:
 
     A file that can't be read gives nulls and its reason in `_rgb_error`.
     """
+    media = own(media, "_rgb")
     names = media.columns
 
     def run(batches):
@@ -76,8 +89,7 @@ def jpeg_tensors(media: DataFrame, column: str = "jpeg") -> DataFrame:
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], names=[*names, "_rgb_height", "_rgb_width", "_rgb", "_rgb_error"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema.fields)
-    return media.mapInArrow(run, f"{schema}, _rgb_height int, _rgb_width int, _rgb binary, _rgb_error string")
+    return media.mapInArrow(run, appended(media, "_rgb_height int, _rgb_width int, _rgb binary, _rgb_error string"))
 
 
 def op10_media_columns(docs: DataFrame) -> DataFrame:
@@ -96,5 +108,4 @@ def op10_media_columns(docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], names=names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return docs.select("doc_id", "text").mapInArrow(run, appended(docs.select("doc_id"), "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"))
