@@ -3,8 +3,8 @@
 A payload (a text's UTF-8 bytes with zeros up to a positive multiple of 64) is stored in the coefficients, JPEG's own
 lossless unit, 64 bytes a block: the first as DC (byte - 128), the others as AC (byte + 256), under a quantiser of ones.
 Chroma is subsampled 4:2:0; the blocks of luma come first, then those of both chromas, which hold payload as well. The scans
-are those of any progressive file: DC of all components, bands of the upper eight bits (spectral selection), and last the
-lowest bit of each component (successive approximation). Reading accumulates the scans into the coefficient arrays again,
+are those of any progressive file: DC of all components, bands of luma's upper eight bits (spectral selection), each chroma,
+and last luma's lowest bit (successive approximation). Reading accumulates the scans into the coefficient arrays again,
 from which the payload, and by inverse transform and upsampling of chroma the RGB tensor, come.
 
 Defined results: a null or empty text is one block of 64 zeros; equal texts give equal values; an empty table gives none; a
@@ -24,8 +24,8 @@ from docloom.functions.arrow import appended
 from docloom.llm.common import own
 from docloom.llm.jpeg import Component, Image, Scan, decode, encode
 
-#: Spectral bands of the upper bits, then the lowest bit of all.
-SCANS = [Scan((0, 1, 2), 0, 0, 0, 0), Scan((0,), 1, 5, 0, 1), Scan((0,), 6, 63, 0, 1), *[Scan((k,), 1, 63, 0, 1) for k in (1, 2)], *[Scan((k,), 1, 63, 1, 0) for k in (0, 1, 2)]]
+#: DC, spectral bands of luma's upper bits, both chromas, then luma's lowest bit.
+SCANS = [Scan((0, 1, 2), 0, 0, 0, 0), Scan((0,), 1, 5, 0, 1), Scan((0,), 6, 63, 0, 1), *[Scan((k,), 1, 63, 0, 0) for k in (1, 2)], Scan((0,), 1, 63, 1, 0)]
 #: Blocks of an MCU: four of luma and one of each chroma.
 MCU = 6
 _ONES = np.ones(64, np.int32)
