@@ -20,13 +20,21 @@ def paragraph_chunks(c: Column, most: int = 2000, separator: str = "\n\n", drop_
     `drop_empty` leaves that out.
     """
     parts = F.filter(F.transform(F.split(c, separator), strip), lambda p: p != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"), F.lit(0).alias("n"))
+    # The fold gathers only where chunks end, as numbers; texts are cut and joined once, afterwards.
+    start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(0).alias("at"), F.lit(0).alias("n"))
 
     def step(a: Column, p: Column) -> Column:
         n = token_count(p)
-        full = F.struct(F.array_append(a["done"], F.array_join(a["open"], separator)).alias("done"), F.array(p).alias("open"), n.alias("n"))
-        more = F.struct(a["done"].alias("done"), F.array_append(a["open"], p).alias("open"), (a["n"] + n).alias("n"))
+        full = F.struct(F.array_append(a["ends"], a["at"]).alias("ends"), (a["at"] + 1).alias("at"), n.alias("n"))
+        more = F.struct(a["ends"].alias("ends"), (a["at"] + 1).alias("at"), (a["n"] + n).alias("n"))
         return F.when(a["n"] + n > most, full).otherwise(more)
 
-    chunks = F.aggregate(parts, start, step, lambda a: F.when(F.size(a["open"]) > 0, F.array_append(a["done"], F.array_join(a["open"], separator))).otherwise(a["done"]))
+    found = F.aggregate(parts, start, step, lambda a: F.struct(parts.alias("parts"), F.when(a["at"] > 0, F.array_append(a["ends"], a["at"])).otherwise(a["ends"]).alias("ends")))
+
+    def cut(x: Column) -> Column:
+        begins = F.concat(F.array(F.lit(0)), x["ends"])
+        return F.transform(x["ends"], lambda end, i: F.array_join(F.slice(x["parts"], F.get(begins, i) + 1, end - F.get(begins, i)), separator))
+
+    # An array of one element, so that its parts are computed once.
+    chunks = F.flatten(F.transform(F.array(found), cut))
     return F.filter(chunks, lambda x: x != "") if drop_empty else chunks

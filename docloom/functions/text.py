@@ -112,9 +112,13 @@ def absolute_url(c: Column, base: str) -> Column:
 
 
 def report_cell(c: Column) -> Column:
-    """A cell of a report: 'N/A' for null, empty or zero, else the text without outer white space."""
-    text = c.cast("string")
-    falsy = c.isNull() | (text == "") | text.isin("0", "0.0", "false")
+    """A cell of a report: 'N/A' for null, the empty text, a number that is zero, false, and empty arrays and maps; else the
+    text without outer white space. The type counts, not what the text looks like: '0' and 'false' as texts stay."""
+    text, kind = c.cast("string"), F.typeof(c)
+    number = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | F.startswith(kind, F.lit("decimal"))
+    zero = number & F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    none = ((kind == "boolean") & (text == "false")) | ((F.startswith(kind, F.lit("array")) | F.startswith(kind, F.lit("map"))) & text.isin("[]", "{}"))
+    falsy = c.isNull() | (text == "") | zero | none
     return F.when(falsy, "N/A").otherwise(strip(text))
 
 

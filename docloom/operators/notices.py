@@ -44,8 +44,16 @@ def new_only(found: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return found.where(F.col(key).isNotNull()).join(existing.select(key).where(F.col(key).isNotNull()), key, "left_anti")
 
 
+def published_since(notices: DataFrame, since: str | None = None, types: list[str] | None = None, published: str = "publication_date", kind: str = "type") -> DataFrame:
+    """Notices published on `since` (yyyy-MM-dd) or later and of one of these types; plain comparisons, which reach the scan."""
+    if since is not None:
+        notices = notices.where(F.col(published) >= F.lit(since).cast(notices.schema[published].dataType))
+    return notices.where(F.col(kind).isin(types)) if types else notices
+
+
 def search(notices: DataFrame, terms: list[str], key: str, text: str, order: list[Column], per_term: int, cap: int, keep: Column | None = None) -> DataFrame:
     """Each term's first `per_term` hits by `order`, a notice with the first term that finds it, at most `cap` in all.
+    Start date and types are filters on `notices` (published_since).
 
     The vocabulary is a literal, so no join is needed: a row is read once and exploded into the terms that it contains.
     Ranks are limited before they are shuffled; the cap is a top-k.
@@ -116,6 +124,28 @@ def summary_prompt(abstract: Column, body: Column) -> Column:
     return F.concat(F.lit("Summarize this notice in one or two sentences: "), source)
 
 
+def with_summary(rows: DataFrame, provider, abstract: str = "abstract", body: str = "body") -> DataFrame:
+    """The rows with the model's `summary` of the abstract, or of the body where there is none."""
+    from docloom.operators.providers import chat
+
+    asked = chat(rows.drop("summary").withColumn("_prompt", summary_prompt(F.col(abstract), F.col(body))), "_prompt", provider, "_answer")
+    return asked.withColumn("summary", clean_summary(F.col("_answer"))).drop("_prompt", "_answer", "_answer_error")
+
+
+def bodies(found: DataFrame, fetcher, url: str = "json_url") -> DataFrame:
+    """The notices with `comments_close_on`, `body` (HTML) and `agency`: the details are fetched, then the body that they name.
+
+    What can't be fetched or read is null; nothing fails.
+    """
+    from docloom.operators.providers import fetch
+    from docloom.sources.html import agencies
+
+    details = fetch(found, url, fetcher).withColumn("_d", F.from_json(F.col("body").cast("string"), "comments_close_on string, body_html_url string"))
+    named = details.select(*found.columns, F.col("_d.comments_close_on").alias("comments_close_on"), F.col("_d.body_html_url").alias("_url"))
+    page = fetch(named, "_url", fetcher).withColumn("html", F.col("body").cast("string")).drop("_url", "status", "body", "suffix", "error")
+    return agencies(page).drop("agency_text").withColumnRenamed("html", "body")
+
+
 def clean_summary(c: Column) -> Column:
     """A model's answer without the line that announces it."""
     return F.trim(F.regexp_replace(c, r"(?i)^\s*here is a summary[^:\n]*:", ""))

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import hashlib
 import time
-import zlib
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docloom.functions.arrow import appended
+
 
 class ChatProvider(Protocol):
     def complete(self, prompts: list[str]) -> list[str]: ...
@@ -42,8 +43,8 @@ class EchoChat:
 
 
 class PassageChat:
-    """Answers from the passages of the prompt, always alike: a rewritten query is the query, half of all passages (told by
-    their CRC) name an organization and the others answer N/A, any other question is answered with the first line."""
+    """Answers from the passages of the prompt, always alike: a rewritten query is the query, passages of an odd length name
+    an organization and the others answer N/A, any other question is answered with the first line."""
 
     def complete(self, prompts: list[str]) -> list[str]:
         return [self._one(p) for p in prompts]
@@ -54,8 +55,7 @@ class PassageChat:
             return prompt.rpartition("\n\nQuery: ")[2].removesuffix("\nNew query:")
         passages, _, question = prompt.partition("Passages:\n")[2].rpartition("\n\nQuestion: ")
         if question.startswith("Name the organization"):
-            code = zlib.crc32(passages.encode("utf-8", "replace"))
-            return f"Organization {code:08x}" if code % 2 else "N/A"
+            return f"Organization {len(passages)}" if len(passages) % 2 else "N/A"
         return next((x.strip()[:80] for x in passages.splitlines() if x.strip()), "N/A")
 
 
@@ -74,6 +74,15 @@ class HashEmbedding:
         return out.tolist()
 
 
+class LetterEmbedding:
+    """How often each letter from a to z comes in the lower-cased text: whole numbers, so distances are exact."""
+
+    dim = 26
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        return [np.bincount(np.frombuffer(t.lower().encode("utf-8", "replace"), np.uint8), minlength=256)[97:123].astype(np.float32).tolist() for t in texts]
+
+
 class Retrying:
     """A provider with a bounded number of tries and a least pause between calls."""
 
@@ -96,6 +105,22 @@ class Retrying:
     def embed(self, texts):
         return self._call(self.inner.embed, texts)
 
+    def fetch(self, urls):
+        return self._call(self.inner.fetch, urls)
+
+
+def _answers(call, values: list) -> dict:
+    """Each value's (answer, error). A call that fails is made again in two halves, down to the values that fail by themselves."""
+    if not values:
+        return {}
+    try:
+        return {v: (a, None) for v, a in zip(values, call(values), strict=True)}
+    except Exception as e:
+        if len(values) == 1:
+            return {values[0]: (None, f"{type(e).__name__}: {e}")}
+        half = len(values) // 2
+        return _answers(call, values[:half]) | _answers(call, values[half:])
+
 
 def _mapped(df: DataFrame, column: str, call, kinds: list[tuple[str, pa.DataType, str]]) -> DataFrame:
     names = df.columns
@@ -104,21 +129,15 @@ def _mapped(df: DataFrame, column: str, call, kinds: list[tuple[str, pa.DataType
     def run(batches):
         for batch in batches:
             values = batch.column(at).to_pylist()
-            once = list(dict.fromkeys(v for v in values if v is not None))
-            try:
-                known, error = dict(zip(once, call(once) if once else [], strict=True)), None
-            except Exception as e:
-                known, error = {}, f"{type(e).__name__}: {e}"
-            answers = [known.get(v) if v is not None else None for v in values]
-            errors = [error if v is not None else None for v in values]
+            known = _answers(call, list(dict.fromkeys(v for v in values if v is not None)))
+            answers, errors = ([known.get(v, (None, None))[i] for v in values] for i in (0, 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, kinds[0][1]), pa.array(errors, pa.string())], names=[*names, kinds[0][0], kinds[0][0] + "_error"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, {kinds[0][0]} {kinds[0][2]}, {kinds[0][0]}_error string")
+    return df.mapInArrow(run, appended(df, f"{kinds[0][0]} {kinds[0][2]}, {kinds[0][0]}_error string"))
 
 
 def chat(df: DataFrame, prompt: str, provider: ChatProvider, out: str = "answer") -> DataFrame:
-    """The rows with the model's answer; a null prompt is not asked. A failed call is told in `<out>_error`."""
+    """The rows with the model's answer; a null prompt is not asked. What fails by itself is told in `<out>_error`."""
     return _mapped(df, prompt, provider.complete, [(out, pa.string(), "string")])
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docloom.functions.chunks import paragraph_chunks, sentence_chunks
 from docloom.functions.text import sanitize, strip
 from docloom.operators.providers import ChatProvider, EmbeddingProvider, chat, embed
 from docloom.operators.vector import squared_l2
+from docloom.sources.store import stored
 
 _NA = "Where the documents don't say, answer N/A alone."
 #: The questions of a report by column. Those of the second wave are asked only where an organization was named.
@@ -49,27 +49,35 @@ def standardize(comments: DataFrame, provider: ChatProvider, most: int = 2000, s
 
 
 def chunk_index(files: DataFrame, provider: EmbeddingProvider, size: int, text: str = "text") -> DataFrame:
-    """(file, pos, chunk, embedding): the sentence-aligned chunks of each file with their vectors."""
+    """(file, pos, chunk, embedding): the sentence-aligned chunks of each file with their vectors.
+
+    The index is stored in the shared folder, so no reader of it embeds a chunk again.
+    """
     chunks = files.select("file", F.posexplode(sentence_chunks(F.col(text), size)).alias("pos", "chunk"))
-    return embed(chunks, "chunk", provider).drop("embedding_error")
+    return stored(embed(chunks, "chunk", provider).drop("embedding_error"))[0]
 
 
 def contexts(index: DataFrame, asked: DataFrame, provider: EmbeddingProvider, k: int = 5, compat: bool = False) -> DataFrame:
     """`asked` (file, question, query) with `context`: the k chunks of the file nearest to the query, joined by line feeds.
 
-    Files meet their own questions only (a join on file); ranks are limited before they are shuffled. compat repeats the
-    last chunk where a file has fewer than k, as an index that pads its results would.
+    A file's chunks and its questions meet in one row, which holds about as much as the file's text did; the k nearest are
+    taken there, so nothing is ranked across rows. compat repeats the last chunk where a file has fewer than k, as an index
+    that pads its results would. Ties go to the earlier chunk; a file without chunks has an empty context.
     """
     vectors = embed(asked, "query", provider, "_q").drop("_q_error")
-    scored = index.join(vectors, "file").withColumn("_d", squared_l2(F.col("embedding"), F.col("_q")))
-    order = Window.partitionBy("file", "question").orderBy("_d", "pos")
-    top = scored.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k)
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("_n", "chunk"))), lambda x: x["chunk"])
-    found = top.groupBy("file", "question").agg(parts.alias("_parts"))
-    if compat:
-        last = index.groupBy("file").agg(F.max_by("chunk", "pos").alias("_end"))
-        found = found.join(last, "file").withColumn("_parts", F.concat("_parts", F.array_repeat("_end", F.lit(k) - F.size("_parts")))).drop("_end")
-    return asked.join(found.select("file", "question", F.array_join("_parts", "\n").alias("context")), ["file", "question"], "left").withColumn("context", F.coalesce("context", F.lit("")))
+    questions = vectors.groupBy("file").agg(F.collect_list(F.struct(*vectors.columns)).alias("_asked"))
+    packed = index.where("embedding IS NOT NULL").groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "chunk", "embedding"))).alias("_chunks"))
+
+    def context(a: Column) -> Column:
+        near = F.array_sort(F.transform("_chunks", lambda c: F.struct(squared_l2(c["embedding"], a["_q"]).alias("d"), c["pos"], c["chunk"].alias("chunk"))))
+        parts = F.transform(F.slice(near, 1, k), lambda x: x["chunk"])
+        if compat:
+            parts = F.concat(parts, F.array_repeat(F.element_at("_chunks", -1)["chunk"], F.lit(k) - F.size(parts)))
+        return F.coalesce(F.array_join(parts, "\n"), F.lit(""))
+
+    joined = questions.join(packed, "file", "left")
+    found = joined.select(F.explode(F.transform("_asked", lambda a: F.struct(a.alias("a"), context(a).alias("context")))).alias("x"))
+    return found.select(*[F.col(f"x.a.{c}") for c in asked.columns], F.col("x.context").alias("context"))
 
 
 def answer(index: DataFrame, asked: DataFrame, embedder: EmbeddingProvider, model: ChatProvider, k: int = 5) -> DataFrame:
@@ -90,10 +98,10 @@ def structured_report(files: DataFrame, metadata: DataFrame, embedder: Embedding
     """A row of REPORT columns for each file. The questions are a literal, exploded per file; answers are pivoted by it.
 
     `metadata` has file, comment_id, date, commenter. The second wave is a filter before the model call, so files
-    without an organization cost no call.
+    without an organization cost no call; the first wave's answers are stored, so the model is asked each question once.
     """
     index = chunk_index(files, embedder, size)
-    about = files.select("file", "text").join(metadata, "file", "left")
+    people = files.select("file").join(metadata.select("file", "commenter"), "file", "left")
 
     def wave(rows: DataFrame, questions: dict[str, str]) -> DataFrame:
         asked = F.array(*[F.struct(F.lit(n).alias("question"), F.lit(q).alias("query")) for n, q in questions.items()])
@@ -102,9 +110,10 @@ def structured_report(files: DataFrame, metadata: DataFrame, embedder: Embedding
         got = answer(index, ask, embedder, model, k)
         return got.groupBy("file").agg(*[F.max(F.when(F.col("question") == n, F.col("answer"))).alias(n) for n in questions])
 
-    first = about.join(wave(about, FIRST_WAVE), "file", "left")
-    named = first.where(has_organization(F.col("organization_name"), compat))
-    both = first.join(wave(named.select("file", "commenter"), SECOND_WAVE), "file", "left")
+    first, _ = stored(wave(people, FIRST_WAVE))
+    named = people.join(first.where(has_organization(F.col("organization_name"), compat)).select("file"), "file", "left_semi")
+    about = files.select("file", F.substring("text", 1, 49000).alias("comment_text")).join(metadata, "file", "left")
+    both = about.join(first, "file", "left").join(wave(named, SECOND_WAVE), "file", "left")
     for c in SECOND_WAVE:
         both = both.withColumn(c, F.when(has_organization(F.col("organization_name"), compat), F.col(c)).otherwise("N/A"))
-    return both.withColumn("comment_id", F.coalesce("comment_id", F.lit(""))).withColumn("date", F.coalesce("date", F.lit(""))).withColumn("comment_text", F.substring("text", 1, 49000)).select(*REPORT)
+    return both.withColumn("comment_id", F.coalesce("comment_id", F.lit(""))).withColumn("date", F.coalesce("date", F.lit(""))).select(*REPORT)

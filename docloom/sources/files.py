@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.arrow import appended
 from docloom.functions.text import file_extension
 
 #: Pages of a PDF: for each, its embedded text and, where that is blank, what character recognition reads.
-PdfPages = Callable[[bytes], list[tuple[str, str]]]
+PdfPages = Callable[[bytes], Iterable[tuple[str, str]]]
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -43,13 +44,19 @@ def docx_text(data: bytes) -> str:
     return "\n".join(paragraphs).strip()
 
 
-def pdf_text(pages: list[tuple[str, str]]) -> str:
-    """Each page's own text, or the recognised one where it is blank, a line feed after each; stripped."""
-    return "".join((own if own.strip() else seen) + "\n" for own, seen in pages).strip()
+def pdf_text(pages: Iterable[tuple[str, str]]) -> tuple[str, str | None]:
+    """Each page's own text, or the recognised one where it is blank, a line feed after each; stripped. And the error that
+    ended the reading, if one did: the pages before it are kept."""
+    read, error = [], None
+    try:
+        read.extend((own if own.strip() else seen) + "\n" for own, seen in pages)
+    except Exception as e:
+        error = f"{type(e).__name__}: {e}"
+    return "".join(read).strip(), error
 
 
 def extract_texts(files: DataFrame, pdf_pages: PdfPages | None = None) -> DataFrame:
-    """The files (`file`, `content`) with `text` and `error`. Suffixes count in any case.
+    """The files (`file`, `content`) with `text` and `error`. Suffixes count in any case; an extractor may yield its pages.
 
     A file that can't be read keeps what was read of it and tells the error; an unknown suffix, or PDF without an
     extractor, is an error of the row, never of the job.
@@ -65,7 +72,7 @@ def extract_texts(files: DataFrame, pdf_pages: PdfPages | None = None) -> DataFr
             if kind == "docx":
                 return docx_text(data), None
             if kind == "pdf" and pdf_pages:
-                return pdf_text(pdf_pages(data)), None
+                return pdf_text(pdf_pages(data))
         except Exception as e:
             return "", f"{type(e).__name__}: {e}"
         return None, f"unsupported file type: {name}"
@@ -75,8 +82,7 @@ def extract_texts(files: DataFrame, pdf_pages: PdfPages | None = None) -> DataFr
             out = [one(n.as_py() or "", d.as_py() or b"") for n, d in zip(batch.column(f), batch.column(c), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string())], names=[*names, "text", "error"])
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in files.schema.fields)
-    return files.mapInArrow(run, f"{schema}, text string, error string")
+    return files.mapInArrow(run, appended(files, "text string, error string"))
 
 
 def supported(name: Column) -> Column:

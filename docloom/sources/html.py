@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.arrow import appended
 from docloom.functions.text import agency_name
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -99,47 +100,69 @@ def _cards(root: Element, kind: str) -> list[dict]:
     return out
 
 
-CARDS = "array<struct<title:string,href:string,items:array<struct<label:string,text:string>>>>"
 _ITEM = pa.struct([("label", pa.string()), ("text", pa.string())])
 _CARD = pa.struct([("title", pa.string()), ("href", pa.string()), ("items", pa.list_(_ITEM))])
 
 
-def parsed_pages(pages: DataFrame, card_class: str = "card-type-comment", html: str = "html") -> DataFrame:
-    """The pages with `page_text`, `title`, `agency_text` (element with id 'agency'), `main_text` (id 'mainContent'), `links`,
-    `attachments` (link arrays of attachment cards) and `cards`. A null page is an empty one."""
+def _hrefs(node: Element) -> list[str]:
+    return [a.attrs["href"] for a in node.find(lambda e: e.tag == "a" and "href" in e.attrs)]
+
+
+def _by_id(name: str):
+    def text(root: Element, _) -> str | None:
+        found = [e for e in root.find(lambda e: e.attrs.get("id") == name)]
+        return found[-1].text() if found else None
+
+    return text
+
+
+def _title(root: Element, _) -> str | None:
+    title = _first(root, lambda e: e.tag == "title")
+    return title.text() if title else None
+
+
+#: What a page can be asked for: how it is read from the root, its Arrow type and its Spark type.
+PARTS = {
+    "page_text": (lambda root, _: root.text(), pa.string(), "string"),
+    "title": (_title, pa.string(), "string"),
+    "agency_text": (_by_id("agency"), pa.string(), "string"),
+    "main_text": (_by_id("mainContent"), pa.string(), "string"),
+    "links": (lambda root, _: _hrefs(root), pa.list_(pa.string()), "array<string>"),
+    "attachments": (lambda root, _: [_hrefs(c) for c in root.find(lambda e: e.has("card", "card-attachment"))], pa.list_(pa.list_(pa.string())), "array<array<string>>"),
+    "cards": (_cards, pa.list_(_CARD), "array<struct<title:string,href:string,items:array<struct<label:string,text:string>>>>"),
+}
+
+
+def parsed_pages(pages: DataFrame, *wanted: str, card_class: str = "card-type-comment", html: str = "html") -> DataFrame:
+    """The pages with the parts asked for (all by default): `page_text`, `title`, `agency_text` (element with id 'agency'),
+    `main_text` (id 'mainContent'), `links`, `attachments` (link arrays of attachment cards) and `cards`. A null page is an
+    empty one; columns of the same names are replaced."""
+    wanted = wanted or tuple(PARTS)
+    pages = pages.drop(*wanted)
     names = pages.columns
     at = names.index(html)
-    kinds = [("page_text", pa.string()), ("title", pa.string()), ("agency_text", pa.string()), ("main_text", pa.string()), ("links", pa.list_(pa.string())), ("attachments", pa.list_(pa.list_(pa.string()))), ("cards", pa.list_(_CARD))]
+    readers = [(k, *PARTS[k][:2]) for k in wanted]
 
     def run(batches):
         for batch in batches:
-            rows = {k: [] for k, _ in kinds}
+            rows = {k: [] for k in wanted}
             for value in batch.column(at):
                 root = parse(value.as_py())
-                by_id = {e.attrs["id"]: e for e in root.find(lambda e: "id" in e.attrs)}
-                title = _first(root, lambda e: e.tag == "title")
-                rows["page_text"].append(root.text())
-                rows["title"].append(title.text() if title else None)
-                rows["agency_text"].append(by_id["agency"].text() if "agency" in by_id else None)
-                rows["main_text"].append(by_id["mainContent"].text() if "mainContent" in by_id else None)
-                hrefs = lambda e: [a.attrs["href"] for a in e.find(lambda x: x.tag == "a" and "href" in x.attrs)]
-                rows["links"].append(hrefs(root))
-                rows["attachments"].append([hrefs(c) for c in root.find(lambda e: e.has("card", "card-attachment"))])
-                rows["cards"].append(_cards(root, card_class))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(rows[k], t) for k, t in kinds)], names=[*names, *(k for k, _ in kinds)])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return pages.mapInArrow(run, f"{schema}, page_text string, title string, agency_text string, main_text string, links array<string>, attachments array<array<string>>, cards {CARDS}")
+                for k, read, _ in readers:
+                    rows[k].append(read(root, card_class))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(rows[k], t) for k, _, t in readers)], names=[*names, *wanted])
+
+    return pages.mapInArrow(run, appended(pages, ", ".join(f"{k} {PARTS[k][2]}" for k in wanted)))
 
 
 def agencies(pages: DataFrame) -> DataFrame:
     """The agency that each page names, or null."""
-    return parsed_pages(pages).withColumn("agency", agency_name(F.col("agency_text")))
+    return parsed_pages(pages, "agency_text").withColumn("agency", agency_name(F.col("agency_text")))
 
 
 def document_ids(pages: DataFrame) -> DataFrame:
     """The ids on a search page's notice cards, in page order; a page without cards gives no rows."""
     from docloom.operators.comments import label_map
 
-    cards = parsed_pages(pages, "card-type-notice").select(*pages.columns, F.posexplode("cards").alias("pos", "card"))
+    cards = parsed_pages(pages, "cards", card_class="card-type-notice").select(*pages.columns, F.posexplode("cards").alias("pos", "card"))
     return cards.select(*[c for c in pages.columns if c != "html"], "pos", F.try_element_at(label_map(F.col("card.items")), F.lit("id")).alias("id"))

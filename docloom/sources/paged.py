@@ -2,6 +2,7 @@
 
 `folder` holds page_<n>.json files (arrays of objects with id, date, name, agency, url), as a fetching provider leaves
 them; the first page that is missing or empty ends the scan. Register with spark.dataSource.register(PagedComments).
+The source opens pages as local files, as a mounted folder offers them; read_pages() reads any file system.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 import json
 import os
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 FIELDS = ("id", "date", "name", "agency", "url")
@@ -22,6 +25,30 @@ def load_page(folder: str, page: int) -> list[tuple]:
         return [(page, *(str(row.get(k) or "") for k in FIELDS)) for row in json.load(f)]
 
 
+#: A file of fewer bytes may be an empty page, which only its content tells.
+SMALL = 64
+
+
+def page_run(folder: str, start: int) -> range:
+    """The pages from `start` up to the first that is missing or empty. One listing; only tiny files are opened."""
+    sizes = {e.name: e.stat().st_size for e in os.scandir(folder)} if os.path.isdir(folder) else {}
+    page = start
+    while (size := sizes.get(f"page_{page}.json")) is not None and (size >= SMALL or load_page(folder, page)):
+        page += 1
+    return range(start, page)
+
+
+def read_pages(spark: SparkSession, folder: str, start: int = 1) -> DataFrame:
+    """The same rows through Spark's own reader, for folders of any file system: page files are listed and parsed on the cluster."""
+    raw = spark.read.text(f"{folder}/page_*.json", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"page_(\d+)\.json$", 1).cast("int").alias("page"), "value")
+    pages = raw.select("page", F.from_json("value", f"array<struct<{','.join(f'{f}:string' for f in FIELDS)}>>").alias("rows")).where((F.size("rows") > 0) & (F.col("page") >= start))
+    # The run ends before the smallest page whose predecessor is there and which is not, or which is the start itself.
+    numbers = pages.select("page").unionByName(spark.range(start - 1, start).select(F.col("id").cast("int").alias("page")))
+    after = numbers.select((F.col("page") + 1).alias("page")).join(pages.select("page"), "page", "left_anti").agg(F.min("page").alias("_end"))
+    kept = pages.join(F.broadcast(after), F.col("page") < F.col("_end"))
+    return kept.select("page", F.explode("rows").alias("r")).select("page", *[F.coalesce(f"r.{f}", F.lit("")).alias(f) for f in FIELDS])
+
+
 class _Page(InputPartition):
     def __init__(self, number: int):
         self.number = number
@@ -32,11 +59,7 @@ class _Reader(DataSourceReader):
         self.folder, self.start = options["folder"], int(options.get("startPage", "1"))
 
     def partitions(self):
-        page, found = self.start, []
-        while load_page(self.folder, page):
-            found.append(_Page(page))
-            page += 1
-        return found or [_Page(self.start)]
+        return [_Page(n) for n in page_run(self.folder, self.start)] or [_Page(self.start)]
 
     def read(self, partition):
         yield from load_page(self.folder, partition.number)

@@ -15,6 +15,11 @@ def report(df: DataFrame) -> DataFrame:
     return df.select(*[report_cell(F.col(c)).alias(c) for c in df.columns])
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """Rows as they are: what a notice table takes, where blank cells stay blank."""
+    df.write.mode("append").parquet(path)
+
+
 def append_report(df: DataFrame, path: str) -> None:
     report(df).write.mode("append").parquet(path)
 

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import comments, notices, providers
-from docloom.plans import rag
+from docloom.plans import collect, rag
 from docloom.plans.registry import QUERIES
 from docloom.sources import files, html, sinks, vectors
+from docloom.sources import paged
 from docloom.sources.paged import PagedComments
 from docloom.streaming import logs
 
@@ -40,6 +41,12 @@ def test_files(spark, tmp_path):
     assert got["a.txt"] == ("hi", None) and got["b.DOCX"] == ("one\ntwo", None) and got["c.pdf"] == ("own text\nread by eye", None)
     assert got["d.PDF"] == ("", "ValueError: no pdf") and got["e.xyz"][0] is None and "unsupported" in got["e.xyz"][1]
     assert files.extract_texts(found.where("file = 'c.pdf'")).first().error
+
+    def torn(data):
+        yield "page one", ""
+        raise ValueError("torn")
+
+    assert files.extract_texts(found.where("file = 'c.pdf'"), torn).select("text", "error").first() == ("page one", "ValueError: torn")
     portfolio = spark.createDataFrame([([b"PK", b"%PDF-1", b"%PDF-2"], b"own"), ([], b"own")], "e array<binary>, own binary")
     assert [bytes(r[0]) for r in portfolio.select(files.first_pdf(F.col("e"), F.col("own"))).collect()] == [b"%PDF-1", b"own"]
 
@@ -51,7 +58,7 @@ PAGE = """<html><head><title>A &amp; B</title><script>var x;</script></head><bod
 
 def test_html(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, None), (3, "<p>open <b>tags")], "page_id int, html string")
-    got = {r.page_id: r for r in html.parsed_pages(pages, "card-type-notice").collect()}
+    got = {r.page_id: r for r in html.parsed_pages(pages, card_class="card-type-notice").collect()}
     assert got[1].title == "A & B" and got[1].main_text == "Hello there" and "var x" not in got[1].page_text
     assert got[1].attachments == [["/x.doc", "/y.pdf"]] and got[1].cards[0].title == "First"
     assert got[2].page_text == "" and got[2].cards == [] and got[3].page_text == "open tags"
@@ -74,7 +81,13 @@ def test_paged_source(spark, tmp_path):
         (pages / f"page_{n}.json").write_text(json.dumps([{"id": i, "name": i.upper()} for i in ids]))
     spark.dataSource.register(PagedComments)
     got = spark.read.format("paged_comments").option("folder", str(pages)).load()
-    assert sorted((r.page, r.id, r.agency) for r in got.collect()) == [(1, "a", ""), (1, "b", ""), (2, "c", "")]
+    want = [(1, "a", ""), (1, "b", ""), (2, "c", "")]
+    assert sorted((r.page, r.id, r.agency) for r in got.collect()) == want
+    assert sorted((r.page, r.id, r.agency) for r in paged.read_pages(spark, str(pages)).collect()) == want
+    assert paged.read_pages(spark, str(pages), 3).count() == 0 and paged.read_pages(spark, str(pages), 4).count() == 1
+    (pages / "page_3.json").write_text(" [ ]\n")
+    assert paged.page_run(str(pages), 1) == range(1, 3) and paged.read_pages(spark, str(pages)).count() == 3
+    (pages / "page_3.json").unlink()
     q = spark.readStream.format("paged_comments").option("folder", str(pages)).load().writeStream.format("memory").queryName("paged").option("checkpointLocation", str(tmp_path / "cp")).start()
     try:
         for _ in range(60):
@@ -131,6 +144,15 @@ def test_providers(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "p string").coalesce(1)
     assert [tuple(r) for r in providers.chat(df, "p", Counting()).collect()] == [("a", "A", None)] * 2 + [(None, None, None)]
     assert "Quota" in providers.chat(df, "p", providers.Retrying(Failing(), 2)).first().answer_error
+    class Picky:
+        def complete(self, prompts):
+            if "b" in prompts:
+                raise ValueError("b")
+            return [p.upper() for p in prompts]
+
+    many = spark.createDataFrame([(x,) for x in "abcde"], "p string").coalesce(1)
+    assert [(r.answer, r.answer_error) for r in providers.chat(many, "p", Picky()).collect()] == [("A", None), (None, "ValueError: b"), ("C", None), ("D", None), ("E", None)]
+    assert providers.LetterEmbedding().embed(["Abba z", ""]) == [[2.0, 2.0] + [0.0] * 23 + [1.0], [0.0] * 26]
     e = providers.HashEmbedding(8).embed(["x y", "y x", "z"])
     assert e[0] == e[1] != e[2]
 
@@ -142,6 +164,16 @@ def test_fetch_and_vectors(spark, tmp_path):
 
     df = spark.createDataFrame([("http://h/ok.PDF",), ("http://h/gone.pdf",), (None,)], "url string")
     got = {r.url: (r.status, r.body and bytes(r.body), r.suffix) for r in providers.fetch(df, "url", Web()).collect()}
+    class Shaky:
+        tries = 0
+
+        def fetch(self, urls):
+            Shaky.tries += 1
+            if Shaky.tries == 1:
+                raise OSError("down")
+            return [(200, b"x") for _ in urls]
+
+    assert providers.Retrying(Shaky()).fetch(["u"]) == [(200, b"x")] and Shaky.tries == 2
     assert got == {"http://h/ok.PDF": (200, b"http://h/ok.PDF", "pdf"), "http://h/gone.pdf": (404, None, "pdf"), None: (None, None, None)}
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "one.json").write_text("[[1.0, 2.0], [3.0, 4.5]]")
@@ -194,6 +226,52 @@ def test_report_asks_in_two_waves(spark, corpus):
     assert named.organization_type != "N/A" and named.comment_text.startswith("Cats")
 
 
+def test_each_prompt_is_sent_once(spark, tmp_path):
+    (tmp_path / "seen").mkdir()
+
+    class Counting(providers.PassageChat):
+        def __init__(self, folder):
+            self.folder = folder
+
+        def complete(self, prompts):
+            import uuid
+
+            (self.folder / uuid.uuid4().hex).write_text(json.dumps(prompts))
+            return super().complete(prompts)
+
+    files_ = spark.createDataFrame([(f"f{i}", f"Comment {'x' * i} here.") for i in range(4)], "file string, text string")
+    about = files_.select("file", F.col("file").alias("comment_id"), F.lit("d").alias("date"), F.col("file").alias("commenter"))
+    report = rag.structured_report(files_, about, providers.LetterEmbedding(), Counting(tmp_path / "seen"), 50).collect()
+    named = sum(r.organization_name != "N/A" for r in report)
+    sent = [p for f in (tmp_path / "seen").iterdir() for p in json.loads(f.read_text())]
+    assert len(report) == 4 and named == 2 and len(sent) == len(set(sent)) == 2 * (4 * len(rag.FIRST_WAVE) + named * len(rag.SECOND_WAVE))
+
+
+def test_notices_are_collected(spark):
+    class Web:
+        def fetch(self, urls):
+            pages = {"j1": (200, b'{"comments_close_on": "2023-07-09", "body_html_url": "b1"}'), "b1": (200, b'<div id="agency">Agency: Trade office.</div><p>Body</p>'), "j2": (200, b"no json"), "j3": (404, b"")}
+            return [pages.get(u, (500, b"")) for u in urls]
+
+    rows = [("1", "j1"), ("2", "j2"), ("3", "j3"), ("4", None)]
+    got = {r.document_number: (r.comments_close_on, r.agency, bool(r.body)) for r in notices.bodies(spark.createDataFrame(rows, "document_number string, json_url string"), Web()).collect()}
+    assert got == {"1": ("2023-07-09", "Trade Office", True), "2": (None, None, False), "3": (None, None, False), "4": (None, None, False)}
+    found = spark.createDataFrame([(str(i), t, f"data {i}", d, "u", k) for i, (t, d, k) in enumerate([("RFI on x", "2023-06-01", "NOTICE"), ("A perfidy", "2023-06-02", "NOTICE"), ("Final", "2023-06-02", "NOTICE"), ("RFI", "2023-01-01", "NOTICE"), ("RFI", "2023-06-03", "RULE"), ("RFI", "2023-06-04", "NOTICE")])], "document_number string, title string, abstract string, publication_date string, html_url string, type string")
+    details = spark.createDataFrame([("0", "X", None, "closes\n07/09/2023"), ("1", "Y", "2023-08-01", "b")], "document_number string, agency string, comments_close_on string, body string")
+    out = collect.notice_rows(found, spark.createDataFrame([("5",)], "document_number string"), details, providers.EchoChat(), ["data"], [F.asc("document_number")], 10, 10, "2023-05-01", ["NOTICE"])
+    assert [(r.doc_id, r.agency, r.comment_window, r.summary) for r in out.orderBy("doc_id").collect()] == [("0", "X", "06/01/2023 - 07/09/2023", "Summarize this notice in one or two sentences: data 0"), ("1", "Y", "06/02/2023 - 08/01/2023", "Summarize this notice in one or two sentences: data 1")]
+
+
+def test_comments_are_collected(spark):
+    cards = spark.createDataFrame([(i, f"c{i}", "Jun 5, 2023", f"Comment from P{i}", "Some Agency") for i in range(4)], "seq int, id string, date string, name string, agency string")
+    pages = spark.createDataFrame([("c1", "short", [["/a.doc", "/b.pdf"]]), ("c2", "good " * 60, [["/c.pdf"], []])], "id string, text string, attachments array<array<string>>")
+    known = spark.createDataFrame([("some agency", "SOME")], "agency string, abbreviation string")
+    files_, pointer = collect.comment_files(cards, pages, providers.EchoChat({"good": "Yes"}), known, "c0")
+    got = {(r.id, r.attachment): (r.link, r.file_name) for r in files_.collect()}
+    assert got == {("c1", 1): ("/b.pdf", "SOME__P1__20230605__c1"), ("c2", 1): (None, "SOME__P2__20230605__c2_attachment1"), ("c2", 2): ("/c.pdf", "SOME__P2__20230605__c2_attachment2")}
+    assert pointer.first().id == "c3"
+
+
 def test_registered_report_asks_both_waves(spark, tmp_path):
     rows = [(i, f"Comment number {i} on the rule.", f"s{i}") for i in range(20)] + [(20, None, "s")]
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))

@@ -67,7 +67,10 @@ def test_sanitize(spark):
 
 
 def test_cells_and_answers(spark):
-    assert column(spark, [None, "", "  ", " a ", "0"], text.report_cell) == ["N/A", "N/A", "", "a", "N/A"]
+    assert column(spark, [None, "", "  ", " a ", "0", "false"], text.report_cell) == ["N/A", "N/A", "", "a", "0", "false"]
+    typed = "0, 1, 0L, 0.0D, -0.0D, 0.00BD, 2.50BD, false, true, array(), array(0), map(), cast('x' AS string)".split(", ")
+    got = spark.sql("SELECT " + ", ".join(f"{v} AS c{i}" for i, v in enumerate(typed)).replace("array(0)", "array(0)"))
+    assert list(got.select(*[text.report_cell(F.col(c)) for c in got.columns]).first()) == ["N/A", "1", "N/A", "N/A", "N/A", "N/A", "2.50", "N/A", "true", "N/A", "[0]", "N/A", "x"]
     assert column(spark, ["a, b ,, c", "", None], text.answer_list) == [["a", "b", "c"], [], None]
     assert column(spark, ["Perfidy", "none", None, "NOTICE OF x"], lambda c: text.contains_any(c, ["rfi", "notice of"])) == [True, False, None, True]
     assert column(spark, ["/p", "http://x"], lambda c: text.absolute_url(c, "https://h")) == ["https://h/p", "http://x"]
