@@ -7,7 +7,7 @@ import pytest
 
 from docloom.plans.registry import ORACLES, QUERIES
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("QUERY_DATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables are absent")
 
