@@ -2,6 +2,10 @@
 
 What a stage returns is written as Parquet in the shared folder and read again as the next one's documents, so a lost
 executor never costs more than the stage at hand. All stages but the last return the columns of `documents`.
+
+Defined results, of every stage: an empty table stays empty; repeated rows are handled alike; a null text counts as an
+empty one and stays null until the last stage; a null source or language is a value of its own; columns beyond those of
+`documents` pass through, but for names that begin as the operator's own do (`_toxic_`, `_line_`, `_mix_`, `_bpe_`).
 """
 
 from __future__ import annotations
@@ -16,23 +20,27 @@ from docloom.sources.store import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. It learns from the labelled documents of the corpus (the folds of op8)."""
+    """Documents that the classifier rejects go. It learns from the labelled documents of the corpus (the folds of op8).
+
+    Without labels of both classes nothing is rejected (or all, if every label is toxic). A null id is scored like any other.
+    """
     model = toxicity.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score_toxicity(docs, model).where("_toxic_score < 0.5").drop("_toxic_score")
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that several documents hold stay in one of them; n_chars follows the text. No document goes."""
+    """Lines that several documents hold stay in one of them; n_chars follows the text. No document goes; a null id keeps its lines."""
     return lines.dedup_lines(docs).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays, with all its repeated rows; documents without
+    words and rows without an id stay."""
     return jaccard.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks for."""
+    """Each document as often as its source's target asks for; rows without words count for nothing and may go."""
     return mixing.mix_sources(docs)
 
 
