@@ -132,6 +132,8 @@ def test_bpe_query(spark):
         assert coded[i]._bpe_text == text and r.n_tokens * 4 == len(ids) and r.ids_sha256 == hashlib.sha256(ids).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert op7_bpe(df.limit(0)).count() == 0
+    odd = spark.sql("SELECT 1 AS doc_id, 'a b' AS text, named_struct('a b', 1) AS `x y`, 'old' AS _bpe_ids, 'old' AS _bpe_text")
+    assert encode_texts(odd).columns == ["doc_id", "text", "x y", "_bpe_ids", "_bpe_text"] and encode_texts(odd).first()["_bpe_text"] == "a b"
 
 
 def words_of(text):

@@ -47,3 +47,50 @@ def test_stages(spark, tmp_path):
 
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {"doc_id", "n_tokens", "ids"} <= set(out.columns) and not {r.doc_id for r in out.collect()} & {r[0] for r in toxic}
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Repeated rows, nulls, ties, a very long text and columns with the operators' own names; and the folder of the corpus."""
+    d = tmp_path_factory.mktemp("odd")
+    df = docs(spark).where("doc_id < 52")
+    rows = [(70, None, "en", None, None), (71, None, None, "s0", None), (None, "words of a row without an id", "en", "s1", 9), (72, "long words " * 200_000, "en", "s2", 9)]
+    df = df.unionByName(df.where("doc_id IN (3, 50)")).unionByName(spark.createDataFrame(rows, COLUMNS))
+    df = df.selectExpr("*", "named_struct('a b', 1) AS `x y`", "1 AS size", "'k' AS key", "2 AS id", "3 AS component", "4 AS y", "'old' AS _line_n", "'old' AS _toxic_score", "'old' AS _mix_copies", "'old' AS _bpe_ids")
+    df.write.parquet(str(d / "documents.parquet"))
+    spark.sql("SELECT id AS doc_id, 1 AS quality, cast(id % 2 AS int) AS toxic FROM range(12)").write.parquet(str(d / "labels.parquet"))
+    return spark.read.parquet(str(d / "documents.parquet")), str(d)
+
+
+EXTRA = ["x y", "size", "key", "id", "component", "y"]
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_each_stage_on_odd_rows_and_on_none(spark, odd, at):
+    df, d = odd
+    name, stage = corpus_pipeline.STAGES[at]
+    out = stage(spark, df, d)
+    got = out.collect()
+    assert stage(spark, df.limit(0), d).collect() == []
+    if at == 4:
+        assert len(got) == df.count() and all(r.decodes for r in got) and sum(r.doc_id == 3 for r in got) == 2
+        assert {r.n_tokens for r in got if r.doc_id in (70, 71)} == {0}
+        return
+    assert set(EXTRA) <= set(out.columns) and {r["x y"]["a b"] for r in got} == {1}
+    ids = [r.doc_id for r in got]
+    if at == 1:
+        assert len(got) == df.count() and {r.text for r in got if r.doc_id in (70, 71)} == {None} and len({r.text for r in got if r.doc_id == 3}) == 1
+        assert next(r.n_chars for r in got if r.doc_id == 72) == 2_200_000
+    if at == 2:
+        assert ids.count(3) == ids.count(50) == 2 and 51 not in ids and ids.count(None) == 1 and {70, 71, 72} <= set(ids)
+    if at == 3:
+        assert ids.count(3) % 2 == 0 or ids.count(3) <= 4
+
+
+def test_a_corpus_without_labels_or_rows(spark, odd, tmp_path):
+    df, _ = odd
+    plain = df.select("doc_id", "text", "lang", "source", "n_chars")
+    plain.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    assert corpus_pipeline.drop_toxic(spark, plain, str(tmp_path)).count() == plain.count()
