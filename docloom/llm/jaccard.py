@@ -7,8 +7,13 @@
 3. Classes that share prefix tokens with a token's smallest class (its pivot) are verified against one pivot each, the one
    they share most with: a number of checks linear in the classes. The links found put similar classes into groups (connected components).
 4. Token-group matrix: for tokens that occur in several groups, (token, group) rows tell which groups a class of another
-   group may overlap with, if it shares enough of its prefix with the group. Such a class is sent to the group, where the union of the members' tokens bounds the overlap;
-   only a group whose bound reaches 0.8 |x| is opened and its members compared, until one is linked.
+   group may overlap with. The first token that two linked sets share stands so early in both that the overlap still fits
+   behind it: with n and m tokens and places i and j, 5n - 9i >= 4m and 5m - 9j >= 4n. So passages that many texts share
+   open no candidates among those whose own words come first. Where the group is a single class, parities bound the overlap
+   as well: each set has PARITY bits, the parities of how many of its tokens fall into each; two sets differ in at least as
+   many tokens as in bits, and linked ones in no more than (n + m) / 9. What passes is sent to the group, where the union of
+   the members' tokens bounds the overlap; only a group whose bound reaches 0.8 |x| is opened and its members compared,
+   until one is linked.
 5. Components of all links, given back to all documents of the class.
 
 No link is lost: two linked classes share a prefix token, so they are either in one group or meet in step 4. Nothing grows
@@ -23,10 +28,11 @@ component; rows that share an id count as linked. Repeated rows are given back a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -46,6 +52,8 @@ SALT = 4096
 BUSY, SPREAD = 100_000, 64
 #: At most so many frequent tokens are told to the executors: 16 bytes each.
 FREQUENT = 200_000
+#: Columns of 64 parities each.
+PARITY = ["b0", "b1", "b2", "b3"]
 _STEPS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -123,13 +131,19 @@ def _describe(batches):
 _DESCRIBED = ["id", "n", "d1", "d2", "token"]
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The parities of a set's tokens in 256 buckets, as four numbers."""
+    odd = np.bincount((s >> np.uint64(11)).astype(np.int64) & 255, minlength=256).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _prefixes(frequent):
     """The prefix of each text's set in the global order, with the salts that each token is split over."""
 
     def run(batches):
         tokens, counts = frequent.value
         for batch in batches:
-            rows, prefix, salts, n, d1 = [], [], [], [], []
+            rows, prefix, salts, n, d1, bits = [], [], [], [], [], []
             for i, s in _sets(batch.column(1)):
                 if len(s) < LEAST:
                     continue  # linked only to equal sets
@@ -144,9 +158,11 @@ def _prefixes(frequent):
                 salts.append((-(-weight[first] // SALT)).astype(np.int32))
                 n.append(len(s))
                 d1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
+                bits.append(parities(s))
+            odd = np.array(bits, np.int64).reshape(-1, len(PARITY))
             at = np.cumsum([0, *map(len, prefix)]).astype(np.int32)
             flat = lambda x, kind: pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(x) if x else np.zeros(0, kind)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), flat(prefix, np.int64), flat(salts, np.int32)], names=["id", "n", "d1", "tokens", "salts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), flat(prefix, np.int64), flat(salts, np.int32), *(pa.array(odd[:, k]) for k in range(len(PARITY)))], names=["id", "n", "d1", "tokens", "salts", *PARITY])
 
     return run
 
@@ -158,7 +174,7 @@ def _share(batches):
     """
     held, told = None, False  # first posting of the token at hand, and whether it was given out
     for batch in batches:
-        token, salts, cls, n = (c.to_numpy() for c in batch.columns)
+        token, salts, cls, *rest = (c.to_numpy() for c in batch.columns)
         if not len(token):
             continue
         joins = held is not None and token[0] == held[0]
@@ -171,16 +187,16 @@ def _share(batches):
         shared = np.bincount(group, other) > 0
         keep = other | (salts > 1) | (first & shared[group])
         if joins and not told and shared[0]:
-            yield _postings(*(np.array([x]) for x in held), np.array([held[2]]))
+            yield _postings(batch.schema.names, *(np.array([x]) for x in held), np.array([held[2]]))
             told = True
         if first.any():
             i = int(np.flatnonzero(first)[-1])
-            held, told = (token[i], salts[i], cls[i], n[i]), bool(keep[i])
-        yield _postings(token[keep], salts[keep], cls[keep], n[keep], pivots[keep])
+            held, told = [c[i] for c in (token, salts, cls, *rest)], bool(keep[i])
+        yield _postings(batch.schema.names, *(c[keep] for c in (token, salts, cls, *rest)), pivots[keep])
 
 
-def _postings(token, salts, cls, n, pivot):
-    return pa.RecordBatch.from_arrays([pa.array(token), pa.array(cls), pa.array(n), pa.array(pivot), pa.array(salts > 1)], names=["token", "cls", "n", "pivot", "salted"])
+def _postings(names, token, salts, *rest):
+    return pa.RecordBatch.from_arrays([*map(pa.array, (token, salts > 1, *rest))], names=["token", "salted", *names[2:], "pivot"])
 
 
 def _open_groups(batches):
@@ -256,16 +272,11 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     return links
 
 
-def _least_shared(n, least, most):
-    """How many prefix tokens a set of n must share with one of `least` to `most` tokens if they are linked.
-
-    The overlap is at least 4 (n + m) / 9. Of the two prefixes the one that ends first holds all common tokens up to its
-    end; beyond it lie need(n) - 1 tokens, or need(m) - 1. What is left must be shared within the prefixes.
-    """
-    up = lambda x, k: F.floor((x + k - 1) / k)
-    low, high = F.greatest(least, up(4 * n, 5)), F.least(most, F.floor(5 * n / 4))
-    own, other = up(4 * (n + low), 9) - up(4 * n, 5), up(4 * (n + high), 9) - up(4 * high, 5)
-    return F.greatest(F.lit(1), F.least(own, other))
+def _room(least: str) -> Column:
+    """Whether a linked set of `least` tokens or more fits behind the place of the row's token, and this one behind the other's
+    (`slack`): 5n - 9i >= 4m and 5m - 9j >= 4n, m being at least 0.8n."""
+    low = F.greatest(F.col(least), F.floor((4 * F.col("n") + 4) / 5))
+    return (5 * F.col("n") - 9 * F.col("place") >= 4 * low) & (F.col("slack") >= 4 * F.col("n"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -305,12 +316,13 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
 
     # Prefixes of one text of each class.
     ids = classes.where(F.col("n") >= LEAST).select(F.col("cls"), F.col("d1").alias("of"), F.lit(1).alias("one"))
-    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>")
-    prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", F.arrays_zip("tokens", "salts").alias("z"))
-    postings = prefix.select("cls", "n", F.explode("z").alias("z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n")
+    odd = ", ".join(f"{b} bigint" for b in PARITY)
+    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>, " + odd)
+    prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", *PARITY, F.arrays_zip("tokens", "salts").alias("z"))
+    postings = prefix.select("cls", "n", *PARITY, F.posexplode("z").alias("place", "z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n", "place", *PARITY)
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("cls"), F.col("salts").cast("long"))).otherwise(0)
-    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n").sortWithinPartitions("token", "cls")
-    postings, _ = stored(postings.mapInArrow(tidy(_share), "token bigint, cls bigint, n bigint, pivot bigint, salted boolean"))
+    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n", "place", *PARITY).sortWithinPartitions("token", "cls")
+    postings, _ = stored(postings.mapInArrow(tidy(_share), f"token bigint, salted boolean, cls bigint, n bigint, place int, {odd}, pivot bigint"))
 
     # Step 3: each class against the pivot that it shares most tokens with, if it shares an eighth of its prefix, and the
     # pivots of a salted token against its smallest. What is not linked here is looked for in step 4.
@@ -327,19 +339,19 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     # Step 4: the token-group matrix, for tokens that lie in several groups.
     groups, _ = stored(components(stars))
     of = groups.select(F.col("id").alias("cls"), F.col("component").alias("g"))
-    placed, path = stored(postings.select("token", "cls", "n").join(of, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
-    across = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("rows")).where("low <> high").select("token", "rows")
-    across, path2 = stored(across)
-    placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows"))
-    matrix = placed.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    asks, path4 = stored(placed.select("token", "cls", "n", "g", F.col("rows")))
-    pairs = asks.join(matrix, "token").where("to < g AND 5 * n >= 4 * least AND 4 * n <= 5 * most")
-    pairs = pairs.groupBy(F.col("to").alias("g"), F.col("cls").alias("id")).agg(F.count("*").alias("both"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
-    pairs = pairs.where(F.col("both") >= _least_shared(F.col("n"), F.col("least"), F.col("most"))).select("g", "id")
+    placed, path = stored(postings.select("token", "cls", "n", "place", *PARITY).join(of, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
+    slack = F.max(5 * F.col("n") - 9 * F.col("place")).alias("slack")
+    across = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("rows"), F.min("n").alias("smallest"), slack).where("low <> high")
+    across, path2 = stored(across.select("token", "rows", "smallest", "slack"))
+    placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows").where(_room("smallest")).select("token", "cls", "n", "place", "g", *PARITY))
+    matrix = placed.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"), slack, (F.min("cls") == F.max("cls")).alias("single"), F.any_value(F.struct(*PARITY)).alias("odd"))
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"odd.{b}"))) for b in PARITY])
+    pairs = placed.join(matrix, "token").where((F.col("to") < F.col("g")) & F.expr("5 * n >= 4 * least AND 4 * n <= 5 * most") & _room("least") & (~F.col("single") | (9 * apart <= F.col("n") + F.col("least"))))
+    pairs = pairs.select(F.col("to").alias("g"), F.col("cls").alias("id")).distinct()
     pairs, path5 = stored(pairs)
     members = placed.select("g", F.col("cls").alias("id")).distinct()
     bridges = _verify(members.join(pairs.select("g").distinct(), "g", "left_semi"), pairs, pool)
-    drop_stored(spark, path, path2, path3, path4, path5)
+    drop_stored(spark, path, path2, path3, path5)
 
     joined, _ = stored(components(stars.unionByName(bridges)))
     whole = classes.join(joined, classes["cls"] == joined["id"], "left").select("n", "d1", "d2", F.coalesce("component", "cls").alias("component"), "copies")

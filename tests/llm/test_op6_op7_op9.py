@@ -242,9 +242,9 @@ def test_streams_do_not_depend_on_batches(size):
     for _ in range(30):
         rows = sorted((t, 1 + (t % 5 == 0), rnd.randrange(8), 9) for t in (rnd.randrange(15) for _ in range(rnd.randrange(1, 40))))
         classes = {t: sorted({r[2] for r in rows if r[0] == t}) for t, *_ in rows}
-        want = {(t, c, n, classes[t][0], s > 1) for t, s, c, n in rows if len(classes[t]) > 1 or s > 1}
-        columns = [np.array([r[k] for r in rows], kind) for k, kind in enumerate((np.int64, np.int32, np.int64, np.int64))]
-        assert set(_rows(jaccard._share(_batches(columns, ["token", "salts", "cls", "n"], size)))) == want
+        want = {(t, s > 1, c, n, 2, classes[t][0]) for t, s, c, n in rows if len(classes[t]) > 1 or s > 1}
+        columns = [np.array([r[k] for r in rows], kind) for k, kind in enumerate((np.int64, np.int32, np.int64, np.int64))] + [np.full(len(rows), 2, np.int32)]
+        assert set(_rows(jaccard._share(_batches(columns, ["token", "salts", "cls", "n", "place"], size)))) == want
         edges = sorted({(rnd.randrange(10), 0, rnd.randrange(10)) for _ in range(rnd.randrange(1, 40))})
         edges = [e for e in edges for _ in range(1 + (e[0] == 3))]
         columns = [np.array([e[k] for e in edges], np.int64) for k in (0, 2, 1)]
@@ -255,6 +255,28 @@ def test_streams_do_not_depend_on_batches(size):
         assert _rows(graph._small_star(_batches(columns, ["u", "v", "salt"], size))) == small
 
 
+@pytest.mark.parametrize("own", [2, 3, 6])
+def test_a_passage_with_own_words(spark, own):
+    """Texts of one passage and a few words: linked or not by the number of their words, with chains between."""
+    rnd = random.Random(own)
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(i, f"{' '.join(f'o{i}x{j}' for j in range(own if i % 4 else rnd.randrange(own + 2)))} {passage}" + (" tail end" if i % 5 == 0 else "")) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()} == brute_components(rows)
+
+
+def test_parities_never_exclude_linked_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(4, 900))
+        both = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 2))).astype(np.uint64)])) for _ in range(2))
+        apart = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+        assert apart <= len(a) + len(b) - 2 * jaccard.overlap(a, b)
+        if jaccard.linked(a, b):
+            assert 9 * apart <= len(a) + len(b)
+
+
 def test_jaccard_other_rows(spark):
     df = spark.createDataFrame([(3, "a b c d e f", 1), (3, "a b c d e f", 1), (None, "a b c d e f", 2), (7, "A b c d e f", 3)], "doc_id long, text string, id int")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()), key=repr)
