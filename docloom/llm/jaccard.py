@@ -110,11 +110,12 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _describe(batches):
-    """Per text: its class key; per batch: how often tokens came that came up at least three times."""
+    """Per text: its class key and parities; per batch: how often tokens came that came up at least three times."""
     for batch in batches:
-        n, d1, d2, tokens = [], [], [], []
+        n, d1, d2, bits, tokens = [], [], [], [], []
         for _, s in _sets(batch.column(1)):
             n.append(len(s))
+            bits.append(parities(s))
             d1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             d2.append(int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
             tokens.append(s)
@@ -123,12 +124,12 @@ def _describe(batches):
         every.sort()
         found, count = np.unique(every[2:][every[2:] == every[:-2]], return_counts=True)  # the third and later ones
         found, count = found.view(np.int64), count + 2
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.nulls(len(n), pa.int64())], names=_DESCRIBED)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.nulls(len(n), pa.int64()), *_columns(bits)], names=_DESCRIBED)
         if len(found):
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), batch.column(0).type), pa.array(count), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()), pa.array(found)], names=_DESCRIBED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), batch.column(0).type), pa.array(count), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()), pa.array(found), *[pa.nulls(len(found), pa.int64())] * len(PARITY)], names=_DESCRIBED)
 
 
-_DESCRIBED = ["id", "n", "d1", "d2", "token"]
+_DESCRIBED = ["id", "n", "d1", "d2", "token", *PARITY]
 
 
 def parities(s: np.ndarray) -> np.ndarray:
@@ -137,13 +138,18 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def _columns(bits: list[np.ndarray]) -> list[pa.Array]:
+    odd = np.array(bits, np.int64).reshape(-1, len(PARITY))
+    return [pa.array(odd[:, k]) for k in range(len(PARITY))]
+
+
 def _prefixes(frequent):
     """The prefix of each text's set in the global order, with the salts that each token is split over."""
 
     def run(batches):
         tokens, counts = frequent.value
         for batch in batches:
-            rows, prefix, salts, n, d1, bits = [], [], [], [], [], []
+            rows, prefix, salts, n, d1 = [], [], [], [], []
             for i, s in _sets(batch.column(1)):
                 if len(s) < LEAST:
                     continue  # linked only to equal sets
@@ -158,11 +164,9 @@ def _prefixes(frequent):
                 salts.append((-(-weight[first] // SALT)).astype(np.int32))
                 n.append(len(s))
                 d1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
-                bits.append(parities(s))
-            odd = np.array(bits, np.int64).reshape(-1, len(PARITY))
             at = np.cumsum([0, *map(len, prefix)]).astype(np.int32)
             flat = lambda x, kind: pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(x) if x else np.zeros(0, kind)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), flat(prefix, np.int64), flat(salts, np.int32), *(pa.array(odd[:, k]) for k in range(len(PARITY)))], names=["id", "n", "d1", "tokens", "salts", *PARITY])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), flat(prefix, np.int64), flat(salts, np.int32)], names=["id", "n", "d1", "tokens", "salts"])
 
     return run
 
@@ -300,9 +304,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _near_duplicates(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
-    described, _ = stored(texts.mapInArrow(tidy(_describe), "id bigint, n bigint, d1 bigint, d2 bigint, token bigint"))
+    described, _ = stored(texts.mapInArrow(tidy(_describe), "id bigint, n bigint, d1 bigint, d2 bigint, token bigint, " + ", ".join(f"{b} bigint" for b in PARITY)))
     rows = described.where("d1 IS NOT NULL")
-    classes = rows.where("id IS NOT NULL AND n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"))
+    classes = rows.where("id IS NOT NULL AND n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"), *(F.any_value(b).alias(b) for b in PARITY))  # equal sets, equal parities
     classes, _ = stored(classes)
 
     counts = described.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
@@ -316,13 +320,12 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
 
     # Prefixes of one text of each class.
     ids = classes.where(F.col("n") >= LEAST).select(F.col("cls"), F.col("d1").alias("of"), F.lit(1).alias("one"))
-    odd = ", ".join(f"{b} bigint" for b in PARITY)
-    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>, " + odd)
-    prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", *PARITY, F.arrays_zip("tokens", "salts").alias("z"))
-    postings = prefix.select("cls", "n", *PARITY, F.posexplode("z").alias("place", "z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n", "place", *PARITY)
+    prefix = texts.where("doc_id IS NOT NULL").mapInArrow(tidy(_prefixes(shared)), "id bigint, n bigint, d1 bigint, tokens array<bigint>, salts array<int>")
+    prefix = prefix.join(ids, (prefix["id"] == ids["cls"]) & (prefix["d1"] == ids["of"])).select("cls", "n", F.arrays_zip("tokens", "salts").alias("z"))
+    postings = prefix.select("cls", "n", F.posexplode("z").alias("place", "z")).select(F.col("z.tokens").alias("token"), F.col("z.salts").alias("salts"), "cls", "n", "place")
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("cls"), F.col("salts").cast("long"))).otherwise(0)
-    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n", "place", *PARITY).sortWithinPartitions("token", "cls")
-    postings, _ = stored(postings.mapInArrow(tidy(_share), f"token bigint, salted boolean, cls bigint, n bigint, place int, {odd}, pivot bigint"))
+    postings = postings.withColumn("salt", salt).repartition("token", "salt").select("token", "salts", "cls", "n", "place").sortWithinPartitions("token", "cls")
+    postings, _ = stored(postings.mapInArrow(tidy(_share), "token bigint, salted boolean, cls bigint, n bigint, place int, pivot bigint"))
 
     # Step 3: each class against the pivot that it shares most tokens with, if it shares an eighth of its prefix, and the
     # pivots of a salted token against its smallest. What is not linked here is looked for in step 4.
@@ -339,11 +342,11 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     # Step 4: the token-group matrix, for tokens that lie in several groups.
     groups, _ = stored(components(stars))
     of = groups.select(F.col("id").alias("cls"), F.col("component").alias("g"))
-    placed, path = stored(postings.select("token", "cls", "n", "place", *PARITY).join(of, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
+    placed, path = stored(postings.select("token", "cls", "n", "place").join(of, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
     slack = F.max(5 * F.col("n") - 9 * F.col("place")).alias("slack")
     across = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("rows"), F.min("n").alias("smallest"), slack).where("low <> high")
     across, path2 = stored(across.select("token", "rows", "smallest", "slack"))
-    placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows").where(_room("smallest")).select("token", "cls", "n", "place", "g", *PARITY))
+    placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows").where(_room("smallest")).select("token", "cls", "n", "place", "g").join(classes.select("cls", *PARITY), "cls"))
     matrix = placed.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"), slack, (F.min("cls") == F.max("cls")).alias("single"), F.any_value(F.struct(*PARITY)).alias("odd"))
     apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"odd.{b}"))) for b in PARITY])
     pairs = placed.join(matrix, "token").where((F.col("to") < F.col("g")) & F.expr("5 * n >= 4 * least AND 4 * n <= 5 * most") & _room("least") & (~F.col("single") | (9 * apart <= F.col("n") + F.col("least"))))
