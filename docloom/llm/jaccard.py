@@ -11,9 +11,11 @@
    behind it: with n and m tokens and places i and j, 5n - 9i >= 4m and 5m - 9j >= 4n. So passages that many texts share
    open no candidates among those whose own words come first. Where the group is a single class, parities bound the overlap
    as well: each set has PARITY bits, the parities of how many of its tokens fall into each; two sets differ in at least as
-   many tokens as in bits, and linked ones in no more than (n + m) / 9. What passes is sent to the group, where the union of
-   the members' tokens bounds the overlap; only a group whose bound reaches 0.8 |x| is opened and its members compared,
-   until one is linked.
+   many tokens as in bits, and linked ones in no more than (n + m) / 9; sets of more than WIDE tokens fill so few bits and
+   have none. What passes is sent to the group, first with a sketch alone: parities again, but as many as the set has
+   tokens, so that of all sets only those remain that are nearly linked. The texts of these follow. In the group the union
+   of the members' tokens bounds the overlap; only a group whose bound reaches 0.8 |x| is opened and its members compared,
+   until one is linked. (Step 3 compares with the pivots in the same way.)
 5. Components of all links, given back to all documents of the class.
 
 No link is lost: two linked classes share a prefix token, so they are either in one group or meet in step 4. Nothing grows
@@ -52,8 +54,9 @@ SALT = 4096
 BUSY, SPREAD = 100_000, 64
 #: At most so many frequent tokens are told to the executors: 16 bytes each.
 FREQUENT = 200_000
-#: Columns of 64 parities each.
+#: Columns of 64 parities each, and the size from which sets have none: at 2 * WIDE / 9 unlike tokens half of all parities differ.
 PARITY = ["b0", "b1", "b2", "b3"]
+WIDE = 720
 _STEPS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -110,12 +113,12 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _describe(batches):
-    """Per text: its class key and parities; per batch: how often tokens came that came up at least three times."""
+    """Per text: its class key and parities (nulls above WIDE tokens); per batch: how often tokens came that came up at least three times."""
     for batch in batches:
         n, d1, d2, bits, tokens = [], [], [], [], []
         for _, s in _sets(batch.column(1)):
             n.append(len(s))
-            bits.append(parities(s))
+            bits.append(parities(s) if len(s) <= WIDE else None)
             d1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             d2.append(int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
             tokens.append(s)
@@ -138,9 +141,34 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
-def _columns(bits: list[np.ndarray]) -> list[pa.Array]:
-    odd = np.array(bits, np.int64).reshape(-1, len(PARITY))
-    return [pa.array(odd[:, k]) for k in range(len(PARITY))]
+def _columns(bits: list[np.ndarray | None]) -> list[pa.Array]:
+    return [pa.array([None if b is None else b[k] for b in bits], pa.int64()) for k in range(len(PARITY))]
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parities of a set's tokens in at least as many buckets as it has tokens (a power of two, 64 at least), eight to a byte."""
+    width = max(64, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((s >> np.uint64(11)).astype(np.int64) & (width - 1), minlength=width).astype(np.uint8) & 1
+    return np.packbits(odd)
+
+
+def fold(bits: np.ndarray) -> np.ndarray:
+    """Sketches (one each row) as they would be with half as many buckets."""
+    half = bits.shape[-1] // 2
+    return bits[..., :half] ^ bits[..., half:]
+
+
+def may_link(n: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the sets with these sizes and sketches (of one width) a set of n tokens may be linked to. Those that are linked always."""
+    if bits.shape[-1] > 2 * others.shape[-1] or others.shape[-1] > 2 * bits.shape[-1]:
+        return np.zeros(len(sizes), bool)  # sizes too far apart
+    if bits.shape[-1] > others.shape[-1]:
+        bits = fold(bits)
+    elif others.shape[-1] > bits.shape[-1]:
+        others = fold(others)
+    near = (5 * np.minimum(sizes, n) >= 4 * np.maximum(sizes, n)) & (sizes > 0)
+    near[near] = 9 * np.bitwise_count(others[near] ^ bits).sum(1, dtype=np.int64) <= sizes[near] + n
+    return near
 
 
 def _prefixes(frequent):
@@ -228,6 +256,43 @@ def _open_groups(batches):
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
+def _sketch(batches):
+    """Size and sketch of each text."""
+    for batch in batches:
+        n, bits = [], []
+        for _, s in _sets(batch.column(1)):
+            n.append(len(s))
+            bits.append(sketch(s).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], names=["id", "n", "bits"])
+
+
+def _sift(batches):
+    """Rows sorted by group, part, role and id, with sketches: the members and the classes of a part that may be linked to another of it."""
+    key, members, told, last = None, {}, set(), None  # of each width: ids, sizes and sketches of the members
+    for batch in batches:
+        g, s, role, ids, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        out = []
+        for i, raw in enumerate(batch.column(5).to_pylist()):
+            if key != (g[i], s[i]):
+                key, members, told, last = (g[i], s[i]), {}, set(), None
+            bits = np.frombuffer(raw, np.uint8)
+            if role[i] == 0:
+                members.setdefault(len(bits), []).append((ids[i], sizes[i], bits))
+                continue
+            hits = set()
+            for width, of in members.items():
+                if isinstance(of, list):  # the first query: all members have come
+                    of = members[width] = (np.array([m[0] for m in of]), np.array([m[1] for m in of]), np.stack([m[2] for m in of]))
+                hits.update(of[0][may_link(int(sizes[i]), bits, of[1], of[2])].tolist())
+            if hits and last != ids[i]:  # texts of one id are one row
+                out.append((g[i], s[i], 1, ids[i]))
+                last = ids[i]
+            out.extend((g[i], s[i], 0, m) for m in hits - told)
+            told |= hits
+        columns = zip(*out, strict=True) if out else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["g", "s", "role", "id"])
+
+
 def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts whose id may be among `ids`, so that no other is shuffled: a bit for each id in a map of fixed size (4 MB)."""
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 25))
@@ -250,7 +315,7 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     """Links (u, v) between queries (g, id) and members (g, id), a link for each query and part of a group at most.
 
     `texts` (id, text) has the texts of both. Groups are cut into parts of PART members; the queries of a part are cut
-    again, and its members sent to each cut.
+    again, and its members sent to each cut. Sketches go first, then the texts of those that they do not tell apart.
     """
     parts = members.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("parts"), F.count("*").alias("rows"))
     cuts = queries.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("cuts"), F.count("*").alias("asked"))
@@ -261,19 +326,27 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     take = lambda df, role: df.select("g", (F.col("part") * F.col("cuts") + F.col("cut")).cast("int").alias("s"), F.lit(role).alias("role"), "id")
     rows = take(m, 0).unionByName(take(q, 1))
     rows, path2 = stored(rows)
+    drawn = _only(texts, rows).mapInArrow(tidy(_sketch), "id bigint, n bigint, bits binary")
+    drawn, path3 = _sent(rows, drawn, ["n", "bits"])
+    rows, path4 = stored(drawn.mapInArrow(tidy(_sift), "g bigint, s int, role int, id bigint"))
+    drop_stored(texts.sparkSession, path, path2, path3)
+    found, path5 = _sent(rows, _only(texts, rows), ["text"])
+    links, _ = stored(found.mapInArrow(tidy(_open_groups), "u bigint, v bigint"))
+    drop_stored(texts.sparkSession, path4, path5)
+    return links
+
+
+def _sent(rows: DataFrame, what: DataFrame, names: list[str]) -> tuple[DataFrame, str]:
+    """The rows (g, s, role, id) with what their ids have, dealt out by group and part, in order; and a stored table to drop after use."""
     uses = rows.groupBy("id").agg(F.count("*").alias("uses"))
-    hot, path3 = stored(uses.where(F.col("uses") >= max(BUSY, -(-rows.count() // 64))).select("id"))
-    texts = _only(texts, rows)
+    hot, path = stored(uses.where(F.col("uses") >= max(BUSY, -(-rows.count() // 64))).select("id"))
     if hot.isEmpty():
-        rows = rows.join(texts, "id")
-    else:  # at most 64 ids; each of their texts goes to SPREAD places, so that no task gets all rows of one
-        few = texts.join(F.broadcast(hot), "id").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        rows = rows.join(what, "id")
+    else:  # at most 64 ids; what each of them has goes to SPREAD places, so that no task gets all rows of one
+        few = what.join(F.broadcast(hot), "id").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
         busy = rows.join(F.broadcast(hot), "id").withColumn("place", F.pmod(F.xxhash64("g", "s"), F.lit(SPREAD)).cast("int"))
-        rows = busy.join(few, ["id", "place"]).drop("place").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(texts, "id"))
-    found = rows.select("g", "s", "role", "id", "text").repartition("g", "s").sortWithinPartitions("g", "s", "role", "id").mapInArrow(tidy(_open_groups), "u bigint, v bigint")
-    links, _ = stored(found)
-    drop_stored(texts.sparkSession, path, path2, path3)
-    return links
+        rows = busy.join(few, ["id", "place"]).drop("place").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(what, "id"))
+    return rows.select("g", "s", "role", "id", *names).repartition("g", "s").sortWithinPartitions("g", "s", "role", "id"), path
 
 
 def _room(least: str) -> Column:
@@ -349,7 +422,7 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     placed, path3 = stored(join_by_counted_key(placed, across, "token", "rows").where(_room("smallest")).select("token", "cls", "n", "place", "g").join(classes.select("cls", *PARITY), "cls"))
     matrix = placed.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"), slack, (F.min("cls") == F.max("cls")).alias("single"), F.any_value(F.struct(*PARITY)).alias("odd"))
     apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"odd.{b}"))) for b in PARITY])
-    pairs = placed.join(matrix, "token").where((F.col("to") < F.col("g")) & F.expr("5 * n >= 4 * least AND 4 * n <= 5 * most") & _room("least") & (~F.col("single") | (9 * apart <= F.col("n") + F.col("least"))))
+    pairs = placed.join(matrix, "token").where((F.col("to") < F.col("g")) & F.expr("5 * n >= 4 * least AND 4 * n <= 5 * most") & _room("least") & (~F.col("single") | (9 * F.coalesce(apart, F.lit(0)) <= F.col("n") + F.col("least"))))
     pairs = pairs.select(F.col("to").alias("g"), F.col("cls").alias("id")).distinct()
     pairs, path5 = stored(pairs)
     members = placed.select("g", F.col("cls").alias("id")).distinct()

@@ -277,6 +277,44 @@ def test_parities_never_exclude_linked_sets():
             assert 9 * apart <= len(a) + len(b)
 
 
+def test_sketches_never_exclude_linked_sets():
+    rng = np.random.default_rng(3)
+    refused = 0
+    for _ in range(300):
+        n = int(rng.integers(4, 3000))
+        both = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        a, *others = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, int(rng.integers(0, n // 3 + 2))).astype(np.uint64)])) for _ in range(4))
+        for b in others:
+            may = bool(jaccard.may_link(len(a), jaccard.sketch(a), np.array([len(b)]), jaccard.sketch(b)[None])[0])
+            assert may or not jaccard.linked(a, b)
+            refused += not may
+    assert refused > 200
+
+
+def _shuffled(spark):
+    """Bytes of shuffles that the session has written so far."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), None)
+    return sum(s.shuffleWriteBytes() for s in jvm.scala.jdk.javaapi.CollectionConverters.asJava(stages))
+
+
+def test_texts_of_unlinked_pairs_are_not_sent(spark):
+    """Long texts in families of six, too few for frequent tokens: all pairs of a family are candidates, none is linked but the last two."""
+    rnd = random.Random(11)
+    word = lambda: f"{rnd.getrandbits(40):010x}"
+    rows = []
+    for _ in range(4):
+        common = [word() for _ in range(1300)]
+        rows += [(len(rows) + i, " ".join(common + [word() for _ in range(300)])) for i in range(6)]
+    rows.append((len(rows), rows[-1][1] + " end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    before = _shuffled(spark)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()} == want
+    assert _shuffled(spark) - before < 2 * sum(len(t) for _, t in rows)
+
+
 def test_jaccard_other_rows(spark):
     df = spark.createDataFrame([(3, "a b c d e f", 1), (3, "a b c d e f", 1), (None, "a b c d e f", 2), (7, "A b c d e f", 3)], "doc_id long, text string, id int")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op9_jaccard_join(df).collect()), key=repr)
