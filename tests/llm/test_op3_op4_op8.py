@@ -303,6 +303,14 @@ def test_clashing_and_nested_columns(spark):
         assert out.count() == 20 and dict(out.dtypes)[name] == "double" and out.first()["x y"]["a b"] is not None and "y" in out.columns
 
 
+def test_toxicity_is_not_learnt_in_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, **_: (os.getpid(), texts, y))
+    df = spark.createDataFrame([(i, f"text {i}", i % 2) for i in range(40)], "doc_id long, text string, toxic int").repartition(5)
+    pid, texts, y = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert pid != os.getpid()
+    assert texts == sorted(texts, key=lambda x: int(x[5:])) and y == [int(x[5:]) % 2 for x in texts] and len(texts) > 20
+
+
 def test_sample_is_as_large_as_documented(spark, monkeypatch):
     rows = [(i, f"text {i}", int(i % 5 == 0)) for i in range(8000)] + [(9000 + i, "long " * 12_000 + str(i), 1) for i in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
