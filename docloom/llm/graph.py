@@ -13,6 +13,8 @@ from docloom.sources.store import drop_stored, stored
 #: Edges of one node that a task handles together at least; a node with more is split over salts.
 SPLIT = 4096
 MOST_HOT = 50_000
+#: Edges that a task contracts by itself, in numpy.
+ALONE = 1 << 18
 
 
 def _edges(u, v, moved):
@@ -37,6 +39,40 @@ def _groups(batches):
         yield u[fresh], v[fresh], start[fresh], new[fresh]
 
 
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that these edges lead to) for each node of the edges."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, least = at[: len(u)], at[len(u) :], np.arange(len(ids))
+    while True:
+        x, y = least[a], least[b]
+        apart = x != y
+        if not apart.any():
+            return ids, ids[least]
+        a, b = a[apart], b[apart]
+        np.minimum.at(least, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while not np.array_equal(least, further := least[least]):
+            least = further
+
+
+def _contract(alone: int):
+    """A task's edges as stars, for each `alone` edges: the same connections with an edge for each node."""
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            n += batch.num_rows
+            if n >= alone:
+                ids, least = _stars(*map(np.concatenate, zip(*held, strict=True)))
+                yield _edges(ids, least, np.ones(len(ids), bool))
+                held, n = [], 0
+        if held:
+            ids, least = _stars(*map(np.concatenate, zip(*held, strict=True)))
+            yield _edges(ids, least, np.ones(len(ids), bool))
+
+    return run
+
+
 def _large_star(batches):
     """Each node gives its larger neighbours the smallest node near it."""
     for u, v, start, _ in _groups(batches):
@@ -61,15 +97,21 @@ def _dealt(edges: DataFrame, f) -> DataFrame:
     return salted.repartition("u", "salt").sortWithinPartitions("u", "salt", "v").mapInArrow(tidy(f), "u bigint, v bigint, moved boolean")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for each id in `edges` (columns u and v): the smallest id that links lead to.
+def components(edges: DataFrame, alone: int = ALONE) -> DataFrame:
+    """(id, component) for each id in `edges` (columns u and v, a stored frame): the smallest id that links lead to.
 
-    A round lets every node give its neighbours the smallest node near it, first the larger, then the smaller ones; it ends
-    when a round moves no edge. Rounds grow with the logarithm of the longest chain. Each round's table is stored in the
+    First each task contracts about `alone` edges to stars, which is all if there are no more. Then a round lets every node
+    give its neighbours the smallest node near it, first the larger, then the smaller ones; the last is one that moves no edge. Rounds grow with the logarithm of the longest chain. Each round's table is stored in the
     shared folder, so a lost executor costs no more than the round. Loops and repeated edges count for nothing.
     """
     spark = edges.sparkSession
-    now, path = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    edges = edges.where("u <> v").select("u", "v")
+    n = edges.count()
+    # One task that gets all edges contracts them together; several, in parts of whole batches.
+    now, path = stored(edges.coalesce(max(1, -(-n // alone))).mapInArrow(tidy(_contract(alone if n > alone else n + 1)), "u bigint, v bigint, moved boolean"))
+    if n <= alone:
+        return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    now = now.where("u <> v")
     moved = True
     while moved:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -293,8 +293,9 @@ def _sift(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["g", "s", "role", "id"])
 
 
-def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts whose id may be among `ids`, so that no other is shuffled: a bit for each id in a map of fixed size (4 MB)."""
+def _only(texts: DataFrame, ids: DataFrame, drawn: bool) -> DataFrame:
+    """The texts whose id may be among `ids`, or what _sketch makes of them, so that no other is shuffled: a bit for each id
+    in a map of fixed size (4 MB). Both in one Python worker: one that waits behind another would hold its memory, too."""
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 25))
     maps = ids.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32768).alias("k")).agg(F.bitmap_construct_agg((F.col("p") % 32768).cast("long")).alias("bits")).collect()
     bits = np.zeros(1 << 22, np.uint8)
@@ -302,13 +303,14 @@ def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
         bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches):
+    def kept(batches):
         for batch in batches:
             at = batch.column(2).to_numpy()
             keep = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
             yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
 
-    return texts.select("id", "text", place.alias("place")).mapInArrow(tidy(run), "id bigint, text string")
+    run, columns = (lambda batches: _sketch(kept(batches)), "n bigint, bits binary") if drawn else (kept, "text string")
+    return texts.select("id", "text", place.alias("place")).mapInArrow(tidy(run), f"id bigint, {columns}")
 
 
 def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFrame:
@@ -317,36 +319,37 @@ def _verify(members: DataFrame, queries: DataFrame, texts: DataFrame) -> DataFra
     `texts` (id, text) has the texts of both. Groups are cut into parts of PART members; the queries of a part are cut
     again, and its members sent to each cut. Sketches go first, then the texts of those that they do not tell apart.
     """
-    parts = members.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("parts"), F.count("*").alias("rows"))
-    cuts = queries.groupBy("g").agg(F.ceil(F.count("*") / PART).alias("cuts"), F.count("*").alias("asked"))
-    groups, path = stored(parts.join(cuts, "g"))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    m = join_by_counted_key(members, groups, "g", "rows").withColumn("part", own("parts")).withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts").cast("int") - 1)))
-    q = join_by_counted_key(queries, groups, "g", "asked").withColumn("cut", own("cuts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)))
-    take = lambda df, role: df.select("g", (F.col("part") * F.col("cuts") + F.col("cut")).cast("int").alias("s"), F.lit(role).alias("role"), "id")
-    rows = take(m, 0).unionByName(take(q, 1))
-    rows, path2 = stored(rows)
-    drawn = _only(texts, rows).mapInArrow(tidy(_sketch), "id bigint, n bigint, bits binary")
-    drawn, path3 = _sent(rows, drawn, ["n", "bits"])
+    rows = members.select("g", "id", F.lit(0).alias("role")).unionByName(queries.select("g", "id", F.lit(1).alias("role")))
+    counts = rows.groupBy("g").agg(F.sum(1 - F.col("role")).alias("members"), F.sum("role").alias("queries"), F.count("*").alias("rows")).where("members > 0 AND queries > 0")
+    groups, path = stored(counts.select("g", F.ceil(F.col("members") / PART).alias("parts"), F.ceil(F.col("queries") / PART).alias("cuts"), "rows"))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    rows = join_by_counted_key(rows, groups, "g", "rows")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("role") == 0, F.col("cuts")).otherwise(F.col("parts")).cast("int") - 1)))
+    s = F.when(F.col("role") == 0, own("parts") * F.col("cuts") + F.col("other")).otherwise(F.col("other") * F.col("cuts") + own("cuts"))
+    rows, path2 = stored(rows.select("g", s.cast("int").alias("s"), "role", "id"))
+    drawn, path3 = _sent(rows, _only(texts, rows, True), ["n", "bits"])
     rows, path4 = stored(drawn.mapInArrow(tidy(_sift), "g bigint, s int, role int, id bigint"))
-    drop_stored(texts.sparkSession, path, path2, path3)
-    found, path5 = _sent(rows, _only(texts, rows), ["text"])
+    drop_stored(texts.sparkSession, path, path2, *path3)
+    found, path5 = _sent(rows, _only(texts, rows, False), ["text"])
     links, _ = stored(found.mapInArrow(tidy(_open_groups), "u bigint, v bigint"))
-    drop_stored(texts.sparkSession, path4, path5)
+    drop_stored(texts.sparkSession, path4, *path5)
     return links
 
 
-def _sent(rows: DataFrame, what: DataFrame, names: list[str]) -> tuple[DataFrame, str]:
-    """The rows (g, s, role, id) with what their ids have, dealt out by group and part, in order; and a stored table to drop after use."""
-    uses = rows.groupBy("id").agg(F.count("*").alias("uses"))
-    hot, path = stored(uses.where(F.col("uses") >= max(BUSY, -(-rows.count() // 64))).select("id"))
-    if hot.isEmpty():
+def _sent(rows: DataFrame, what: DataFrame, names: list[str]) -> tuple[DataFrame, list[str]]:
+    """The rows (g, s, role, id) with what their ids have, dealt out by group and part, in order; and the stored tables to drop after use."""
+    n, paths = rows.count(), []
+    if n >= BUSY:  # else no id can be asked for so often
+        uses = rows.groupBy("id").agg(F.count("*").alias("uses"))
+        hot, path = stored(uses.where(F.col("uses") >= max(BUSY, -(-n // 64))).select("id"))
+        paths = [path]
+    if not paths or hot.isEmpty():
         rows = rows.join(what, "id")
     else:  # at most 64 ids; what each of them has goes to SPREAD places, so that no task gets all rows of one
         few = what.join(F.broadcast(hot), "id").withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
         busy = rows.join(F.broadcast(hot), "id").withColumn("place", F.pmod(F.xxhash64("g", "s"), F.lit(SPREAD)).cast("int"))
         rows = busy.join(few, ["id", "place"]).drop("place").unionByName(rows.join(F.broadcast(hot), "id", "left_anti").join(what, "id"))
-    return rows.select("g", "s", "role", "id", *names).repartition("g", "s").sortWithinPartitions("g", "s", "role", "id"), path
+    return rows.select("g", "s", "role", "id", *names).repartition("g", "s").sortWithinPartitions("g", "s", "role", "id"), paths
 
 
 def _room(least: str) -> Column:
@@ -409,8 +412,9 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     salted = postings.where("salted").groupBy("token").agg(F.min("pivot").alias("least"), F.count("*").alias("rows"))
     salted, _ = stored(salted)
     above = join_by_counted_key(postings.where("salted AND cls = pivot").select("token", "pivot", "n"), salted, "token", "rows").where("pivot <> least").groupBy(F.col("pivot").alias("cls"), F.col("least").alias("pivot")).agg(F.count("*").alias("both")).select("cls", "pivot")
-    near = sizes.unionByName(above).distinct()
+    near, path = stored(sizes.unionByName(above).distinct())
     stars = _verify(near.select(F.col("pivot").alias("g"), F.col("pivot").alias("id")).distinct(), near.select(F.col("pivot").alias("g"), F.col("cls").alias("id")), pool)
+    drop_stored(spark, path)
 
     # Step 4: the token-group matrix, for tokens that lie in several groups.
     groups, _ = stored(components(stars))

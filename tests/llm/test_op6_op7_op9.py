@@ -340,3 +340,23 @@ def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 700)] + [(2000, 2001), (2001, 2000), (5, 5)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got[i] == 0 for i in range(31)) and all(got[i] == 100 for i in range(100, 800)) and got[2001] == 2000
+
+
+def test_components_alone_and_in_rounds(spark):
+    """One task with all edges, and many that contract a few each, find the same."""
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 900, (700, 2))] + [(i + 1, i) for i in range(1000, 1300)] + [(7, 7)]
+    least = {i: i for e in edges if e[0] != e[1] for i in e}
+    while True:
+        now = dict(least)
+        for a, b in edges:
+            if a != b:
+                now[a] = now[b] = min(now[a], now[b])
+        if now == least:
+            break
+        least = now
+    df = spark.createDataFrame(edges, "u long, v long").repartition(6)
+    for alone in (1 << 18, 50):
+        got = [(r.id, r.component) for r in components(df, alone).collect()]
+        assert len(got) == len(least) and dict(got) == least
+    assert components(df.where("u = v")).count() == 0 and components(df.where("u = v"), 1).count() == 0
