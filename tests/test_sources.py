@@ -3,6 +3,7 @@ import io
 import json
 import zipfile
 from html import unescape
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from docloom.operators import comments, notices, providers
 from docloom.plans import collect, rag
 from docloom.plans.registry import QUERIES
-from docloom.sources import files, html, sinks, vectors
+from docloom.sources import files, html, sinks, store, vectors
 from docloom.sources import paged
 from docloom.sources.paged import PagedComments
 from docloom.streaming import logs
@@ -287,3 +288,15 @@ def test_standardize_keeps_order(spark):
     text = "\n\n".join(f"part{i} words here" for i in range(12))
     df = spark.createDataFrame([("f", text)], "file string, text string").withColumn("metadata", F.struct(F.lit(1).alias("a")))
     assert rag.standardize(df, providers.EchoChat(), most=3).first().standardized.split("\n") == [f"part{i} words here" for i in range(12)]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p.name for d in dirs for p in Path(d).rglob("shuffle_*")}
+    before, setting = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept, path = store.stored(df)
+    assert files() <= before and kept.count() == 7
+    df.write.parquet(f"{path}-plain")
+    assert files() > before and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    store.drop_stored(spark, path, f"{path}-plain")
