@@ -31,6 +31,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LONG = 128
 #: Texts whose words are merged together.
 STEP = 512
+#: Where ids and texts go back to Spark, so many texts are merged together and so many words kept: less of a worker's memory.
+LEAN_STEP, LEAN_TABLE = 128, 50_000
 NONE = (1 << 31) - 1
 
 
@@ -178,8 +180,8 @@ class BytePairs:
 
 
 @lru_cache(2)
-def load(spec: str) -> BytePairs:
-    return BytePairs(spec)
+def load(spec: str, table: int = 200_000) -> BytePairs:
+    return BytePairs(spec, table)
 
 
 def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -196,10 +198,10 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
-        pairs = load(spec.value)
+        pairs = load(spec.value, LEAN_TABLE)
         for batch in batches:
-            for start in range(0, batch.num_rows, STEP):
-                part = batch.slice(start, STEP)
+            for start in range(0, batch.num_rows, LEAN_STEP):
+                part = batch.slice(start, LEAN_STEP)
                 ids = pairs.encode([t or "" for t in part.column(part.schema.names.index("text")).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array([pairs.decode(i) for i in ids], pa.string())], names=[*part.schema.names, "_bpe_ids", "_bpe_text"])
         pairs.table.clear()

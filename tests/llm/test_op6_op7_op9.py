@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from docloom.llm import graph, jaccard, neighbours
+from docloom.llm import bpe, graph, jaccard, neighbours
 from docloom.llm.bpe import BytePairs, encode_texts, op7_bpe
 from docloom.llm.graph import components
 from docloom.llm.neighbours import chi_square_quantile, nearest
@@ -360,3 +360,12 @@ def test_components_alone_and_in_rounds(spark):
         got = [(r.id, r.component) for r in components(df, alone).collect()]
         assert len(got) == len(least) and dict(got) == least
     assert components(df.where("u = v")).count() == 0 and components(df.where("u = v"), 1).count() == 0
+
+
+def test_lean_table_gives_the_same_ids(spark):
+    """More words than the table of the pipeline's form keeps, in texts of more than one step."""
+    rows = [(i, " ".join(f"w{(i * 331 + k) % 70_000}x" for k in range(200))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (hashlib.sha256(bytes(r._bpe_ids)).hexdigest(), r._bpe_text) for r in bpe.encode_texts(df).collect()}
+    want = {r.doc_id: r.ids_sha256 for r in bpe.op7_bpe(df).collect()}
+    assert {i: d for i, (d, _) in got.items()} == want and all(got[i][1] == t for i, t in rows) and bpe.LEAN_TABLE < 200_000
